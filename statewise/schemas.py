@@ -42,12 +42,15 @@ RAW_WEATHER = _text(
     "Longitude",
 )
 
-EMPLOYMENT_DOCUMENT = T.StructType.fromDDL(
-    """
-    Results struct<series: array<struct<
-        catalog: struct<area: string>,
-        data: array<struct<year: string, period: string, value: string>>>>>
-    """
+_SERIES = T.StructType(
+    [
+        T.StructField("catalog", _text("area")),
+        T.StructField("data", T.ArrayType(_text("year", "period", "value"))),
+    ]
+)
+
+EMPLOYMENT_DOCUMENT = T.StructType().add(
+    "Results", T.StructType().add("series", T.ArrayType(_SERIES))
 )
 
 DIM_CITIES = T.StructType(
