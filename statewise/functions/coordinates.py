@@ -34,3 +34,13 @@ def great_circle_km(
         F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * half_lon * half_lon
     )
     return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
+
+
+def unit_vector(latitude: Column, longitude: Column) -> list[Column]:
+    """The point on a sphere of radius 1, as columns x, y and z."""
+    lat, lon = F.radians(latitude), F.radians(longitude)
+    return [
+        (F.cos(lat) * F.cos(lon)).alias("x"),
+        (F.cos(lat) * F.sin(lon)).alias("y"),
+        F.sin(lat).alias("z"),
+    ]

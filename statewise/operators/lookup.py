@@ -6,16 +6,31 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statewise.workspace import settle
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 2**20
 SALTS = 16
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Bounded size check: never counts further than ``rows`` + 1."""
-    return df.limit(rows + 1).count() <= rows
+def has_at_most(df: DataFrame, rows: int, n_bytes: int | None = None) -> bool:
+    """Bounded size check: never looks further than ``rows`` + 1 rows.
+
+    With ``n_bytes`` the rows' text and a fixed share per column must also fit.
+    """
+    few = df.limit(rows + 1)
+    if n_bytes is None:
+        return few.count() <= rows
+    wide = [
+        F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
+        for field in df.schema.fields
+        if not isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType))
+    ]
+    width = sum(wide, F.lit(16 * len(df.columns)))
+    size = few.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
+    return size["rows"] <= rows and (size["bytes"] or 0) <= n_bytes
 
 
 def join_lookup(
@@ -28,7 +43,8 @@ def join_lookup(
 ) -> DataFrame:
     """Equi-join ``rows`` (any size, any skew) with one-row-per-key ``lookup``.
 
-    A lookup proven small is broadcast and ``rows`` is not shuffled. A larger
+    A lookup proven small is broadcast (the check reads it, so hand in a written
+    table or something as cheap) and ``rows`` is not shuffled. A larger
     one is shuffled with ``rows``; then every key is spread over ``salts``
     sub-keys, so that a key holding a third of ``rows`` does not end up in one
     task. The salt is a hash of the row: a recomputed task places its rows as
@@ -37,7 +53,7 @@ def join_lookup(
     if how not in ("inner", "left"):
         raise ValueError(f"a lookup join is inner or left, not {how}")
     keys = list(keys)
-    if has_at_most(lookup, broadcast_rows):
+    if has_at_most(lookup, broadcast_rows, BROADCAST_BYTES):
         return rows.join(F.broadcast(lookup), keys, how)
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
     copies = lookup.withColumn(

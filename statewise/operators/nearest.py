@@ -4,7 +4,8 @@ The globe is cut into cells that shrink by four per axis and level. Each
 occupied cell keeps the places that may be nearest to some point in it: with
 ``r`` the radius of the cell about its centre and ``d`` the distance of the
 place nearest to the centre, these are the places within ``d + 2r`` of the
-centre (triangle inequality). A cell inherits the list of the cell around it,
+centre (triangle inequality; straight lines through the globe, which need no
+trigonometry per pair). A cell inherits the list of the cell around it,
 so each level only thins out the lists of the one before. Cells with a short
 list and not too many points are finished; the others are cut again. At the
 end every point is compared with the short list of its own cell.
@@ -18,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statewise.functions.coordinates import EARTH_RADIUS_KM, great_circle_km
+from statewise.functions.coordinates import great_circle_km, unit_vector
 from statewise.workspace import settle
 
 QUARTER = 90.0  # degrees: edge of the eight level-0 cells
@@ -26,7 +27,7 @@ DEEPEST = 11  # cells of about two metres
 SHORT_LIST = 32
 CELL_POINTS = 131_072
 FIRST_PAIRS = 2_000_000
-SLACK_KM = 0.001  # far above the rounding error of the distance formula
+SLACK = 1e-9  # of the earth's radius: far above rounding errors
 
 
 def _index(degrees: Column, offset: float, quarters: int) -> Column:
@@ -83,31 +84,33 @@ def _cells(points: DataFrame, level: int, above: int) -> DataFrame:
             ((F.col("cell_row") + 0.5) * width - 90).alias("centre_lat"),
             ((F.col("cell_col") + 0.5) * width - 180).alias("centre_lon"),
         )
+        .withColumns(
+            {
+                "centre": F.struct(
+                    *unit_vector(F.col("centre_lat"), F.col("centre_lon"))
+                ),
+                # Along the centre's parallel, then along a meridian: never short.
+                "radius": F.radians(F.lit(width / 2)) * (1 + F.cos(F.radians("centre_lat"))),
+            }
+        )
+        .drop("centre_lat", "centre_lon")
     )
 
 
-def _thin_out(listed: DataFrame, cells: DataFrame, level: int) -> DataFrame:
+def _thin_out(listed: DataFrame, cells: DataFrame) -> DataFrame:
     """Short lists of one level from the lists of the level above."""
-    half_edge = F.radians(F.lit(QUARTER / 4**level / 2))
-    # Along the centre's parallel, then along a meridian: never an underestimate.
-    radius = EARTH_RADIUS_KM * half_edge * (1 + F.cos(F.radians("centre_lat")))
+    apart = [F.col(f"centre.{axis}") - F.col(f"spot.{axis}") for axis in "xyz"]
     pairs = listed.join(cells, ["parent_row", "parent_col"]).withColumn(
-        "centre_km",
-        great_circle_km(
-            F.col("centre_lat"),
-            F.col("centre_lon"),
-            F.col("place_lat"),
-            F.col("place_lon"),
-        ),
+        "centre_apart", F.sqrt(sum(d * d for d in apart))
     )
     closest = pairs.groupBy("cell_row", "cell_col").agg(
-        F.min("centre_km").alias("closest_km")
+        F.min("centre_apart").alias("closest")
     )
     kept = pairs.join(closest, ["cell_row", "cell_col"]).where(
-        F.col("centre_km") <= F.col("closest_km") + 2 * radius + SLACK_KM
+        F.col("centre_apart") <= F.col("closest") + 2 * F.col("radius") + SLACK
     )
     return kept.select(
-        "cell_row", "cell_col", "cell_points", "place_lat", "place_lon", "place"
+        "cell_row", "cell_col", "cell_points", "place_lat", "place_lon", "spot", "place"
     )
 
 
@@ -162,7 +165,10 @@ def nearest_place(
         .groupBy(
             F.col("latitude").alias("place_lat"), F.col("longitude").alias("place_lon")
         )
-        .agg(F.min(F.struct(place_id, *carry)).alias("place")),
+        .agg(F.min(F.struct(place_id, *carry)).alias("place"))
+        .withColumn(
+            "spot", F.struct(*unit_vector(F.col("place_lat"), F.col("place_lon")))
+        ),
         "places",
     )
     # Level 0 cannot tell places apart: all are on the list of its eight cells.
@@ -176,7 +182,7 @@ def nearest_place(
     above, level = 0, _first_level(points, places)
     while True:
         cells = _cells(points, level, above)
-        lists = settle(_thin_out(open_lists, cells, level), "lists")
+        lists = settle(_thin_out(open_lists, cells), "lists")
         crowded = (
             lists.groupBy("cell_row", "cell_col", "cell_points")
             .agg(F.count("*").alias("listed"))
@@ -197,15 +203,16 @@ def nearest_place(
             *places.columns,
         )
         above, level = level, level + 1
-    nearest = F.min_by("place", F.struct("km", F.col(f"place.{place_id}")))
+    # Compares the distance first, then the place, of which the id comes first.
+    best = F.min(F.struct("km", "place")).alias("best")
     return (
         reduce(DataFrame.unionByName, compared)
         .groupBy("latitude", "longitude")
-        .agg(nearest.alias("place"), F.min("km").alias("km"))
+        .agg(best)
         .select(
             "latitude",
             "longitude",
-            *[F.col("place")[name].alias(name) for name in (place_id, *carry)],
-            "km",
+            *[F.col("best.place")[name].alias(name) for name in (place_id, *carry)],
+            "best.km",
         )
     )

@@ -71,6 +71,7 @@ def percent_ranks(
     Up to ``one_task_rows`` rows an ordinary window does; beyond that the ranks
     come from sorted value counts. NULL values get a NULL rank and do not count.
     """
+    df = settle(df, "ranked")  # read once per value below
     if has_at_most(df, one_task_rows):
         for value in values:
             present = W.partitionBy(F.col(value).isNull()).orderBy(value)

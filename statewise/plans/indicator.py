@@ -113,5 +113,9 @@ def employment_indicator() -> Indicator:
 def weather_indicator(cities: DataFrame, stored: DataFrame | None = None) -> Indicator:
     return _standard(
         "fact_weather",
-        lambda raw: weather_with_state(clean_weather(raw), cities, stored),
+        # Written first: the text is parsed once, and the search for distinct
+        # coordinates reads two columns.
+        lambda raw: weather_with_state(
+            settle(clean_weather(raw), "cleaned"), cities, stored
+        ),
     )

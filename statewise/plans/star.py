@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from statewise.operators.lookup import join_lookup
 from statewise.operators.ordering import percent_ranks
+from statewise.workspace import settle
 
 
 def summary_in_range(
@@ -68,14 +69,15 @@ def place_profiles(
     employment. Facts are reduced to their key before they meet the places."""
     climate = summary_in_range(weather, "date", first, last, ["city", "state"], "avg_temp")
     climate = climate.select("city", "state", F.col("mean").alias("mean_temp"))
-    jobs = employment.where(F.col("people_employed").isNotNull()).groupBy("state").agg(
-        F.max_by("people_employed", F.struct("year", "month", "people_employed")).alias(
-            "people_employed"
-        )
+    # Reduced to the months first, so that both steps aggregate by hashing.
+    by_month = (
+        employment.where(F.col("people_employed").isNotNull())
+        .groupBy("state", (F.col("year") * 12 + F.col("month")).alias("at"))
+        .agg(F.max("people_employed").alias("people"))
     )
+    jobs = by_month.groupBy("state").agg(F.max_by("people", "at").alias("people_employed"))
     places = one_place_per_name(cities)
-    # One row per state: as small as the list of states, but checked all the same.
-    return join_lookup(places, jobs, ["state"], "left").join(
+    return join_lookup(places, settle(jobs, "jobs"), ["state"], "left").join(
         climate, ["city", "state"], "left"
     )
 

@@ -40,15 +40,15 @@ def write_partitioned(
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+    df: DataFrame, path: str, partition_by: Sequence[str], is_clustered: bool = False
 ) -> None:
     """Replace exactly the partitions that ``df`` has rows for; keep the others.
 
     Running it again with the same rows changes nothing. ``df`` must not read
-    from ``path``.
+    from ``path``. Rows that come clustered are not shuffled again.
     """
     (
-        clustered(df, partition_by, sort_by)
+        (df if is_clustered else clustered(df, partition_by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

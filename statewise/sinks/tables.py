@@ -11,11 +11,15 @@ from pyspark.sql import types as T
 from statewise import schemas
 from statewise.operators.ordering import number_rows
 from statewise.operators.quality import QualityError
+from statewise.workspace import settle
 
 # How each fact table is laid out: the columns most queries select by.
 PARTITIONS = {"dim_cities": (), "fact_weather": ("state",), "fact_employment": ("year",)}
 SORTING = {"dim_cities": (), "fact_weather": ("date",), "fact_employment": ("month",)}
 
+# A total order of places, so that numbering does not depend on the input order.
+PLACE_ORDER = ("state", "city", "latitude", "longitude", "population", "density")
+
 
 def create_tables(
     spark: SparkSession, location: str, names: Iterable[str] = tuple(schemas.TABLES)
@@ -92,7 +96,9 @@ def load_file(
     because a text did not fit the type. A missing key is numbered on.
     """
     target = schemas.TABLES[table]
-    rows = read_load_file(spark, path, columns or schemas.LOAD_ORDER[table], target)
+    rows = settle(
+        read_load_file(spark, path, columns or schemas.LOAD_ORDER[table], target), table
+    )
     bad = rows.agg(
         *[F.count_if(F.col(c).isNull()).alias(c) for c in schemas.required_columns(table)]
     ).first()
@@ -105,10 +111,6 @@ def load_file(
     insert(spark, table, rows)
 
 
-# A total order of places, so that numbering does not depend on the input order.
-PLACE_ORDER = ("state", "city", "latitude", "longitude", "population", "density")
-
-
 def save_bucketed(
     df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int,
     sort_by: Sequence[str] = (),

@@ -74,13 +74,15 @@ def upsert(store: KeyedStore, changes: DataFrame, stage: str | None = None) -> N
     repeatable = stage is not None
     stage = stage or new_folder(spark, "stage")
     if not folder_is_complete(spark, stage):
-        changes = changes.select(*store.schema.fieldNames())
-        stored = _touched(store.read(spark), changes, partition_by)
-        merged = latest_by_key(stored.unionByName(changes), store.keys, store.order)
+        rows = changes = changes.select(*store.schema.fieldNames())
+        if folder_exists(spark, store.path):
+            stored = _touched(store.read(spark), changes, partition_by)
+            rows = stored.unionByName(changes)
+        merged = latest_by_key(rows, store.keys, store.order)
         clustered(merged, partition_by).write.mode("overwrite").partitionBy(
             *partition_by
         ).parquet(stage)
     staged = spark.read.schema(store.schema).parquet(stage)
-    replace_partitions(staged, store.path, partition_by)
+    replace_partitions(staged, store.path, partition_by, is_clustered=True)
     if not repeatable:
         discard(spark, stage)

@@ -38,7 +38,11 @@ def ingest_available(
         return f"{checkpoint}/stages/{batch_id}"
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        upsert(store, batch, stage=stage_of(batch_id))
+        # Raw text is parsed once; the upsert reads it several times.
+        rows = f"{checkpoint}/rows"
+        batch.write.mode("overwrite").parquet(rows)
+        parsed = batch.sparkSession.read.schema(batch.schema).parquet(rows)
+        upsert(store, parsed, stage=stage_of(batch_id))
         if batch_id > 0:
             # The next batch starts only after the one before is committed.
             discard(batch.sparkSession, stage_of(batch_id - 1))
