@@ -56,9 +56,8 @@ def join_lookup(
     if has_at_most(lookup, broadcast_rows, BROADCAST_BYTES):
         return rows.join(F.broadcast(lookup), keys, how)
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
-    copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint")
-    )
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    copies = lookup.withColumn("_salt", F.explode(every_salt))
     return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -39,7 +39,8 @@ class KeyedStore:
     def read(self, spark: SparkSession) -> DataFrame:
         if not folder_exists(spark, self.path):
             return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(self.path)
+        stored = spark.read.schema(self.schema).parquet(self.path)
+        return stored.select(*self.schema.fieldNames())
 
 
 def _touched(stored: DataFrame, changes: DataFrame, partition_by: Sequence[str]) -> DataFrame:
