@@ -69,48 +69,53 @@ def _first_level(points: DataFrame, places: DataFrame) -> int:
     return max(fitting, default=1)
 
 
-def _cells(points: DataFrame, level: int, above: int) -> DataFrame:
-    """Occupied cells of a level, with their number of points and the cell of
-    the level ``above`` they lie in."""
+def _cells(points: DataFrame, level: int) -> DataFrame:
+    """Occupied cells of a level, with their number of points."""
+    return points.groupBy(_row(level).alias("cell_row"), _col(level).alias("cell_col")).agg(
+        F.count("*").alias("cell_points")
+    )
+
+
+def _placed(cells: DataFrame, level: int, above: int) -> DataFrame:
+    """Cells with their centre, their radius and the cell of the level ``above``
+    they lie in."""
     width = QUARTER / 4**level
+    centre_lat = (F.col("cell_row") + 0.5) * width - 90
+    centre_lon = (F.col("cell_col") + 0.5) * width - 180
     shift = 2 * (level - above)
-    return (
-        points.groupBy(_row(level).alias("cell_row"), _col(level).alias("cell_col"))
-        .agg(F.count("*").alias("cell_points"))
-        .select(
-            "*",
-            F.shiftright("cell_row", shift).alias("parent_row"),
-            F.shiftright("cell_col", shift).alias("parent_col"),
-            ((F.col("cell_row") + 0.5) * width - 90).alias("centre_lat"),
-            ((F.col("cell_col") + 0.5) * width - 180).alias("centre_lon"),
-        )
-        .withColumns(
-            {
-                "centre": F.struct(
-                    *unit_vector(F.col("centre_lat"), F.col("centre_lon"))
-                ),
-                # Along the centre's parallel, then along a meridian: never short.
-                "radius": F.radians(F.lit(width / 2)) * (1 + F.cos(F.radians("centre_lat"))),
-            }
-        )
-        .drop("centre_lat", "centre_lon")
+    return cells.select(
+        "*",
+        F.shiftright("cell_row", shift).alias("parent_row"),
+        F.shiftright("cell_col", shift).alias("parent_col"),
+        F.struct(*unit_vector(centre_lat, centre_lon)).alias("centre"),
+        # Along the centre's parallel, then along a meridian: never short.
+        (F.radians(F.lit(width / 2)) * (1 + F.cos(F.radians(centre_lat)))).alias("radius"),
     )
 
 
-def _thin_out(listed: DataFrame, cells: DataFrame) -> DataFrame:
-    """Short lists of one level from the lists of the level above."""
-    apart = [F.col(f"centre.{axis}") - F.col(f"spot.{axis}") for axis in "xyz"]
-    pairs = listed.join(cells, ["parent_row", "parent_col"]).withColumn(
-        "centre_apart", F.sqrt(sum(d * d for d in apart))
-    )
-    closest = pairs.groupBy("cell_row", "cell_col").agg(
-        F.min("centre_apart").alias("closest")
-    )
-    kept = pairs.join(closest, ["cell_row", "cell_col"]).where(
-        F.col("centre_apart") <= F.col("closest") + 2 * F.col("radius") + SLACK
+def _apart() -> Column:
+    """Straight line from the centre of a cell to a place."""
+    sides = [F.col(f"centre.{axis}") - F.col(f"spot.{axis}") for axis in "xyz"]
+    return F.sqrt(sum(side * side for side in sides))
+
+
+def _thin_out(listed: DataFrame, points: DataFrame, level: int, above: int) -> DataFrame:
+    """Short lists of one level from the lists of the level ``above``."""
+    inside = ["parent_row", "parent_col"]
+    # One row per cell is left, so the planner can see whether to broadcast it;
+    # pairs of cell and place exist only inside the two joins.
+    closest = settle(
+        listed.join(_placed(_cells(points, level), level, above), inside)
+        .groupBy("cell_row", "cell_col", "cell_points")
+        .agg(F.min(_apart()).alias("closest")),
+        "closest",
     )
-    return kept.select(
-        "cell_row", "cell_col", "cell_points", "place_lat", "place_lon", "spot", "place"
+    return (
+        listed.join(_placed(closest, level, above), inside)
+        .where(_apart() <= F.col("closest") + 2 * F.col("radius") + SLACK)
+        .select(
+            "cell_row", "cell_col", "cell_points", "place_lat", "place_lon", "spot", "place"
+        )
     )
 
 
@@ -181,8 +186,7 @@ def nearest_place(
     compared = []
     above, level = 0, _first_level(points, places)
     while True:
-        cells = _cells(points, level, above)
-        lists = settle(_thin_out(open_lists, cells), "lists")
+        lists = settle(_thin_out(open_lists, points, level, above), "lists")
         crowded = (
             lists.groupBy("cell_row", "cell_col", "cell_points")
             .agg(F.count("*").alias("listed"))
