@@ -15,10 +15,16 @@ from driver_queries.stand_ins import (
     raw_places,
     raw_weather,
     sql_coordinates,
+    table,
 )
 from statewise import schemas
 from statewise.operators.quality import measure, null_checks
-from statewise.plans.employment import clean_employment
+from statewise.plans.employment import (
+    DELIVERY,
+    clean_employment,
+    deliveries,
+    employment_store,
+)
 from statewise.plans.indicator import (
     cities_indicator,
     employment_indicator,
@@ -27,9 +33,10 @@ from statewise.plans.indicator import (
     weather_indicator,
 )
 from statewise.plans.places import clean_places
-from statewise.sinks.files import write_csv
+from statewise.sinks.files import clustered, write_csv
 from statewise.sinks.tables import create_tables, drop_tables, load_file
 from statewise.sources.files import read_header_csv
+from statewise.streaming.ingest import ingest_available
 from statewise.workspace import new_folder
 
 
@@ -70,6 +77,34 @@ def employment_null_check(spark, folder):
     return measure(figures, null_checks(["people_employed"])).drop("passed", "severity")
 
 
+def employment_ingest(spark, folder):
+    """Orders as figures that are delivered, and corrected, up to two months late."""
+    landing, progress = new_folder(spark, "landing"), new_folder(spark, "progress")
+    store = employment_store(new_folder(spark, "store"))
+    delivered = F.date_format(
+        F.add_months("o_orderdate", (F.col("o_custkey") % 3).cast("int")), "yyyyMM"
+    )
+    figure = F.struct(
+        F.date_format("o_orderdate", "yyyy").alias("year"),
+        F.concat(F.lit("M"), F.date_format("o_orderdate", "MM")).alias("period"),
+        delivered.alias("value"),
+    )
+    series = F.struct(
+        F.struct(F.col("o_orderstatus").alias("area")).alias("catalog"),
+        F.array(figure).alias("data"),
+    )
+    raw = table(spark, folder, "orders").select(
+        F.struct(F.array(series).alias("series")).alias("Results"),
+        delivered.alias("ingest_month"),
+    )
+    for arrived in (F.col("ingest_month") >= "199801", F.col("ingest_month") < "199801"):
+        clustered(raw.where(arrived), ["ingest_month"]).write.mode("append").partitionBy(
+            "ingest_month"
+        ).json(landing)
+        ingest_available(spark, landing, DELIVERY, deliveries, store, progress)
+    return store.read(spark).select(*schemas.FACT_EMPLOYMENT.fieldNames(), "ingest_month")
+
+
 def _weather(spark, folder):
     path = new_folder(spark, "raw")
     write_csv(raw_weather(spark, folder), path)
@@ -93,6 +128,7 @@ QUERIES = {
     "table_load": table_load,
     "dim_cities": dim_cities,
     "fact_employment": fact_employment,
+    "employment_ingest": employment_ingest,
     "employment_report": employment_report,
     "employment_null_check": employment_null_check,
     "fact_weather": fact_weather,
@@ -130,6 +166,15 @@ SQL = {
                                        "('Puerto Rico', 'District of Columbia')")})
         SELECT row_number() OVER (ORDER BY state, city) AS city_id, * FROM p""",
     "fact_employment": SQL_FIGURES,
+    "employment_ingest": """
+        SELECT o_orderstatus AS state, cast(year(o_orderdate) as integer) AS year,
+               cast(month(o_orderdate) as integer) AS month,
+               max(strftime(o_orderdate + to_months(cast(o_custkey % 3 as integer)), '%Y%m'))
+                   AS ingest_month,
+               cast(max(strftime(
+                   o_orderdate + to_months(cast(o_custkey % 3 as integer)), '%Y%m'))
+                   as bigint) * 1000 AS people_employed
+        FROM orders GROUP BY 1, 2, 3""",
     "employment_report": f"""
         WITH f AS ({SQL_FIGURES}),
         k AS (SELECT 1 FROM f GROUP BY state, year, month HAVING count(*) > 1),

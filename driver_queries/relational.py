@@ -42,6 +42,10 @@ def dim_places(spark, folder):
     return clean_places(raw_places(spark, folder), NOT_SEGMENTS)
 
 
+def preview(spark, folder):
+    return dim_places(spark, folder).orderBy("city").limit(10)
+
+
 def not_in_null(spark, folder):
     segment = F.nullif("c_mktsegment", F.lit("HOUSEHOLD"))
     return (
@@ -227,6 +231,7 @@ _SQL_REASON = """
 
 QUERIES = {
     "dim_places": dim_places,
+    "preview": preview,
     "not_in_null": not_in_null,
     "hidden_filter": hidden_filter,
     "weather_clean": weather_clean,
@@ -244,6 +249,7 @@ QUERIES = {
 
 SQL = {
     "dim_places": SQL_PLACES,
+    "preview": f"{SQL_PLACES} ORDER BY city LIMIT 10",
     "not_in_null": """
         SELECT c_custkey, nullif(c_mktsegment, 'HOUSEHOLD') AS segment FROM customer
         WHERE nullif(c_mktsegment, 'HOUSEHOLD') NOT IN ('MACHINERY', 'BUILDING')""",

@@ -27,6 +27,7 @@ DEEPEST = 11  # cells of about two metres
 SHORT_LIST = 32
 CELL_POINTS = 131_072
 FIRST_PAIRS = 2_000_000
+COARSE = 3  # at most 32,768 cells up to this level
 SLACK = 1e-9  # of the earth's radius: far above rounding errors
 
 
@@ -102,16 +103,21 @@ def _apart() -> Column:
 def _thin_out(listed: DataFrame, points: DataFrame, level: int, above: int) -> DataFrame:
     """Short lists of one level from the lists of the level ``above``."""
     inside = ["parent_row", "parent_col"]
-    # One row per cell is left, so the planner can see whether to broadcast it;
-    # pairs of cell and place exist only inside the two joins.
-    closest = settle(
-        listed.join(_placed(_cells(points, level), level, above), inside)
+
+    def ready(cells: DataFrame, label: str) -> DataFrame:
+        # Few by construction, or written, so that the planner knows their size.
+        if level <= COARSE:
+            return F.broadcast(_placed(cells, level, above))
+        return _placed(settle(cells, label), level, above)
+
+    # Pairs of cell and place exist only inside the two joins.
+    closest = (
+        listed.join(ready(_cells(points, level), "cells"), inside)
         .groupBy("cell_row", "cell_col", "cell_points")
-        .agg(F.min(_apart()).alias("closest")),
-        "closest",
+        .agg(F.min(_apart()).alias("closest"))
     )
     return (
-        listed.join(_placed(closest, level, above), inside)
+        listed.join(ready(closest, "closest"), inside)
         .where(_apart() <= F.col("closest") + 2 * F.col("radius") + SLACK)
         .select(
             "cell_row", "cell_col", "cell_points", "place_lat", "place_lon", "spot", "place"
@@ -183,24 +189,29 @@ def nearest_place(
     open_lists = places.select(
         F.inline(roots).alias("parent_row", "parent_col"), *places.columns
     )
-    compared = []
+    open_points, compared = points, []
     above, level = 0, _first_level(points, places)
     while True:
-        lists = settle(_thin_out(open_lists, points, level, above), "lists")
-        crowded = (
+        lists = settle(_thin_out(open_lists, open_points, level, above), "lists")
+        if level == DEEPEST:
+            compared.append(_compare(open_points, lists, level))
+            break
+        crowded = settle(
             lists.groupBy("cell_row", "cell_col", "cell_points")
             .agg(F.count("*").alias("listed"))
             .where(
                 (F.col("listed") > short_list)
                 | ((F.col("cell_points") > cell_points) & (F.col("listed") > 1))
             )
-            .select("cell_row", "cell_col")
+            .select("cell_row", "cell_col"),
+            "crowded",
         )
-        if level == DEEPEST or crowded.isEmpty():
-            compared.append(_compare(points, lists, level))
-            break
         finished = lists.join(crowded, ["cell_row", "cell_col"], "left_anti")
-        compared.append(_compare(points, finished, level))
+        compared.append(_compare(open_points, finished, level))
+        if crowded.isEmpty():
+            break
+        in_crowded = (_row(level) == F.col("cell_row")) & (_col(level) == F.col("cell_col"))
+        open_points = points.join(crowded, in_crowded, "left_semi")
         open_lists = lists.join(crowded, ["cell_row", "cell_col"], "left_semi").select(
             F.col("cell_row").alias("parent_row"),
             F.col("cell_col").alias("parent_col"),

@@ -56,13 +56,16 @@ def deliveries(documents: DataFrame) -> DataFrame:
 
 
 def employment_store(path: str) -> KeyedStore:
-    """Latest delivery wins; of two in one month, the file that came last."""
+    """Latest delivery wins; of two in one month, the file that came last.
+
+    Kept by year, which is just what one delivery repeats.
+    """
     return KeyedStore(
         path=path,
         schema=STORED,
         keys=schemas.KEYS["fact_employment"],
         order=(MONTH_COLUMN, ARRIVED, "people_employed"),
-        partition_by=("year", "month"),
+        partition_by=("year",),
     )
 
 
