@@ -16,20 +16,19 @@ SALTS = 16
 
 
 def has_at_most(df: DataFrame, rows: int, n_bytes: int | None = None) -> bool:
-    """Bounded size check: never looks further than ``rows`` + 1 rows.
+    """Size check by an aggregate, so that no rows are moved for it.
 
     With ``n_bytes`` the rows' text and a fixed share per column must also fit.
     """
-    few = df.limit(rows + 1)
     if n_bytes is None:
-        return few.count() <= rows
+        return df.count() <= rows
     wide = [
         F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
         for field in df.schema.fields
         if not isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType))
     ]
     width = sum(wide, F.lit(16 * len(df.columns)))
-    size = few.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
+    size = df.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
     return size["rows"] <= rows and (size["bytes"] or 0) <= n_bytes
 
 

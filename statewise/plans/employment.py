@@ -51,8 +51,7 @@ def deliveries(documents: DataFrame) -> DataFrame:
     arrived = documents.select(
         "*", F.col("_metadata.file_modification_time").alias(ARRIVED)
     )
-    figures = clean_employment(arrived, MONTH_COLUMN, ARRIVED)
-    return figures.dropna(subset=["state", "year"])
+    return clean_employment(arrived, MONTH_COLUMN, ARRIVED)
 
 
 def employment_store(path: str) -> KeyedStore:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statewise.operators.quality import REASON, with_reason
 from statewise.sinks.upsert import KeyedStore, upsert
 from statewise.workspace import discard
 
@@ -21,13 +23,18 @@ def ingest_available(
     file_format: str = "json",
     max_files: int | None = None,
     glob: str | None = None,
+    rejects: str | None = None,
 ) -> None:
     """Take in every file that arrived in ``landing`` since the last call.
 
-    ``shape`` turns raw rows into rows of the store. Files already taken are
-    remembered in ``checkpoint``. A batch repeated after a failure finds its
-    staged rows and publishes them again, so the result is that of one run.
+    ``shape`` turns raw rows into rows of the store. Rows without a value in a
+    column the store requires go to ``rejects`` (by default next to the store),
+    one folder per batch. Files already taken are remembered in ``checkpoint``.
+    A batch repeated after a failure finds its staged rows and publishes them
+    again, so the result is that of one run.
     """
+    required = [field.name for field in store.schema.fields if not field.nullable]
+    rejects = rejects or f"{store.path}_rejects"
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -39,10 +46,14 @@ def ingest_available(
 
     def take(batch: DataFrame, batch_id: int) -> None:
         # Raw text is parsed once; the upsert reads it several times.
-        rows = f"{checkpoint}/rows"
-        batch.write.mode("overwrite").parquet(rows)
-        parsed = batch.sparkSession.read.schema(batch.schema).parquet(rows)
-        upsert(store, parsed, stage=stage_of(batch_id))
+        rows, marked = f"{checkpoint}/rows", with_reason(batch, required)
+        marked.write.mode("overwrite").parquet(rows)
+        parsed = batch.sparkSession.read.schema(marked.schema).parquet(rows)
+        if required:
+            bad = parsed.where(F.col(REASON) != "")
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        good = parsed.where(F.col(REASON) == "").drop(REASON)
+        upsert(store, good, stage=stage_of(batch_id))
         if batch_id > 0:
             # The next batch starts only after the one before is committed.
             discard(batch.sparkSession, stage_of(batch_id - 1))

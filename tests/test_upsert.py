@@ -118,6 +118,11 @@ def test_employment_ingest(spark, tmp_path):
     stored = run()
     assert stored == [("Iowa", 2018, 12, None), ("Ohio", 2019, 1, 2500), ("Ohio", 2019, 2, 3000)]
     assert run() == stored
+    assert not rows(spark.read.parquet(str(tmp_path / "store_rejects")))
+    deliver(landing, "202001", "d.json", document(**{"": [("20xx", "M01", "1.0")]}))
+    assert run() == stored
+    rejects = spark.read.parquet(str(tmp_path / "store_rejects"))
+    assert rows(rejects.select("month", "reject_reason")) == [(1, "year is null")]
 
 
 def test_stream_ends_with_the_batch_table(spark, tmp_path):
