@@ -24,7 +24,7 @@ from statewise.workspace import settle
 
 QUARTER = 90.0  # degrees: edge of the eight level-0 cells
 DEEPEST = 11  # cells of about two metres
-SHORT_LIST = 32
+SHORT_LIST = 64
 CELL_POINTS = 131_072
 FIRST_PAIRS = 2_000_000
 COARSE = 3  # at most 32,768 cells up to this level
