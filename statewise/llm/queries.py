@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from statewise.llm import sql
 from statewise.llm.decontaminate import contamination
+from statewise.llm.line_spread import remove_shared_lines
+from statewise.llm.mixing import mix
 from statewise.llm.repetition import repetition_measures
 
 
@@ -13,6 +15,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(_table(spark, folder, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = remove_shared_lines(_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -22,11 +33,15 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mix_sources": op2_mix_sources,
+    "op4_line_dedup": op4_line_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL = {
+    "op2_mix_sources": sql.MIXING,
+    "op4_line_dedup": sql.LINE_SPREAD,
     "op9_benchmark_decontamination": sql.CONTAMINATION,
     "op10_quality_rules": sql.repetition(),
 }

@@ -99,3 +99,63 @@ def repetition() -> str:
         f"WITH {', '.join(parts)} SELECT *, {failed} AS base_failed, "
         f"NOT {failed} AND {passed} AS kept FROM counts"
     )
+
+
+MIXING = r"""
+WITH queue AS (
+    SELECT doc_id, source, text, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+    FROM documents
+), ranked AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight
+    FROM queue GROUP BY source
+), filled AS (
+    SELECT *, sum(source_size) OVER () AS budget,
+           coalesce(sum(3 * source_size) OVER before, 0) AS words_before,
+           sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+    FROM ranked
+    WINDOW before AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levels AS (
+    SELECT *, CAST(budget - words_before AS DOUBLE) / CAST(weight_left AS DOUBLE) AS level FROM filled
+), flagged AS (
+    SELECT *, 3 * source_size <= weight * level AS is_full FROM levels
+), targets AS (
+    SELECT source, source_size,
+           CASE WHEN is_full THEN CAST(3 * source_size AS DOUBLE)
+                ELSE weight * coalesce((SELECT level FROM flagged WHERE NOT is_full
+                    ORDER BY 3.0 * source_size / weight, source NULLS LAST LIMIT 1), 0) END AS target
+    FROM flagged
+), stood AS (
+    SELECT doc_id, queue.source, size, source_size, target, key,
+           sum(size) OVER (PARTITION BY queue.source ORDER BY key, doc_id, size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far
+    FROM queue JOIN targets ON queue.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(greatest(0, least(size, floor(target) - so_far + size))
+          + greatest(0, least(size, floor(target) - source_size - so_far + size))
+          + greatest(0, least(size, floor(target) - 2 * source_size - so_far + size)) AS BIGINT) AS taken
+FROM stood
+"""
+
+LINE_SPREAD = r"""
+WITH line AS (
+    SELECT doc_id, source, i, lines[i] AS line, trim(lines[i], E' \t\x0b\x0c\r') AS body
+    FROM (SELECT doc_id, source, lines, unnest(range(1, len(lines) + 1)) AS i
+          FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents))
+), shared AS (
+    SELECT body FROM line WHERE body <> '' GROUP BY body HAVING count(DISTINCT source) >= 10
+), judged AS (
+    SELECT line.*, shared.body IS NOT NULL AS gone FROM line LEFT JOIN shared USING (body)
+), found AS (
+    SELECT doc_id, count(*) FILTER (WHERE body <> '') AS n_lines,
+           count(*) FILTER (WHERE gone) AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS rest
+    FROM judged GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN n_removed > 0 THEN rest ELSE text END AS text
+FROM documents LEFT JOIN found USING (doc_id)
+"""
