@@ -159,3 +159,52 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_remo
        CASE WHEN n_removed > 0 THEN rest ELSE text END AS text
 FROM documents LEFT JOIN found USING (doc_id)
 """
+
+
+PREFERENCES = r"""
+WITH answer AS (
+    SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS last_text
+    FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+), pair AS (
+    SELECT c.conv_id, turn, role, text,
+           CASE WHEN role = 'assistant' AND turn = mine.last_turn
+                THEN coalesce(other.last_text, '') ELSE text END AS other_text
+    FROM conversations AS c LEFT JOIN answer AS mine ON c.conv_id = mine.conv_id
+         LEFT JOIN answer AS other ON xor(c.conv_id, 1) = other.conv_id
+), marked AS (
+    SELECT *, bool_and(text = other_text) OVER (PARTITION BY conv_id ORDER BY turn) AS common,
+           '<|im_start|>' || role || chr(10) AS header
+    FROM pair
+), placed AS (
+    SELECT *, header || text || '<|im_end|>' || chr(10) AS whole,
+           header || other_text || '<|im_end|>' || chr(10) AS other_whole
+    FROM marked
+), summed AS (
+    SELECT *,
+           sum(CASE WHEN common THEN 0 ELSE length(whole) END) OVER up_to AS below,
+           sum(CASE WHEN common THEN 0 ELSE length(other_whole) END) OVER up_to AS other_below
+    FROM placed WINDOW up_to AS (PARTITION BY conv_id ORDER BY turn)
+)
+SELECT conv_id, count(*) FILTER (WHERE common) AS n_prompt_turns,
+       coalesce(string_agg(whole, '' ORDER BY turn) FILTER (WHERE common), '') AS prompt,
+       coalesce(string_agg(whole, '' ORDER BY turn) FILTER (WHERE NOT common), '') AS chosen,
+       coalesce(string_agg(other_whole, '' ORDER BY turn) FILTER (WHERE NOT common), '') AS rejected,
+       coalesce(string_agg(concat(below - length(whole) + length(header), ':', below), ',' ORDER BY turn)
+           FILTER (WHERE NOT common AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg(concat(other_below - length(other_whole) + length(header), ':', other_below), ','
+           ORDER BY turn) FILTER (WHERE NOT common AND role = 'assistant'), '') AS rejected_mask
+FROM summed GROUP BY conv_id
+"""
+
+FIXITY = r"""
+WITH record AS (
+    SELECT page_id, 66 + strlen(url) + length(CAST(strlen(html) AS VARCHAR)) + strlen(html) + 8 AS n_bytes,
+           substr(md5(CAST(page_id AS VARCHAR)), 1, 2) AS pick
+    FROM pages
+), placed AS (
+    SELECT *, sum(n_bytes) OVER (ORDER BY page_id) - n_bytes AS start FROM record
+)
+SELECT page_id, CAST(start AS BIGINT) AS "offset", n_bytes,
+       CASE pick WHEN '00' THEN 'changed' ELSE 'missing' END AS status
+FROM placed WHERE pick IN ('00', '01')
+"""
