@@ -13,6 +13,7 @@ from statewise.llm.line_spread import remove_shared_lines
 from statewise.llm.mixing import mix
 from statewise.llm.preferences import mask_text, preference_pairs, with_other_answers
 from statewise.llm.repetition import repetition_measures
+from statewise.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +49,10 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(_table(spark, folder, "pages"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op3_warc_fixity": op3_warc_fixity,
     "op4_line_dedup": op4_line_dedup,
     "op5_html_text": op5_html_text,
+    "op8_toxicity": op8_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
