@@ -11,6 +11,7 @@ from statewise.llm.fixity import audit_pages
 from statewise.llm.html_text import extract_text
 from statewise.llm.line_spread import remove_shared_lines
 from statewise.llm.mixing import mix
+from statewise.llm.ngram_join import near_duplicates
 from statewise.llm.preferences import mask_text, preference_pairs, with_other_answers
 from statewise.llm.repetition import repetition_measures
 from statewise.llm.toxicity import score_toxicity
@@ -49,6 +50,10 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(_table(spark, folder, "pages"))
 
 
+def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_warc_fixity": op3_warc_fixity,
     "op4_line_dedup": op4_line_dedup,
     "op5_html_text": op5_html_text,
+    "op6_ngram_join": op6_ngram_join,
     "op8_toxicity": op8_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
