@@ -14,6 +14,7 @@ from statewise.llm.mixing import mix
 from statewise.llm.ngram_join import near_duplicates
 from statewise.llm.preferences import mask_text, preference_pairs, with_other_answers
 from statewise.llm.repetition import repetition_measures
+from statewise.llm.suffixes import remove_repeats
 from statewise.llm.toxicity import score_toxicity
 
 
@@ -54,6 +55,10 @@ def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(_table(spark, folder, "documents")).drop("runs", "kept")
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -73,6 +78,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_html_text": op5_html_text,
     "op6_ngram_join": op6_ngram_join,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
