@@ -12,6 +12,7 @@ from driver_queries.stand_ins import (
     SQL_PLACES,
     cities,
     documents,
+    new_database,
     raw_places,
     raw_weather,
     sql_coordinates,
@@ -45,12 +46,17 @@ def table_load(spark, folder):
     places = clean_places(raw_places(spark, folder), NOT_SEGMENTS)
     path = new_folder(spark, "processed")
     write_csv(places.select(*schemas.LOAD_ORDER["dim_cities"]), path)
-    drop_tables(spark)
-    create_tables(spark, new_folder(spark, "warehouse"))
-    create_tables(spark, new_folder(spark, "warehouse"))  # they exist: no effect
-    load_file(spark, "dim_cities", path)
-    load_file(spark, "dim_cities", path)
-    return spark.table("dim_cities")
+    database, before = new_database(spark), spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        drop_tables(spark)  # none there: no effect
+        create_tables(spark, new_folder(spark, "warehouse"))
+        create_tables(spark, new_folder(spark, "warehouse"))  # they exist: no effect
+        load_file(spark, "dim_cities", path)
+        load_file(spark, "dim_cities", path)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    return spark.table(f"{database}.dim_cities")
 
 
 def dim_cities(spark, folder):
@@ -67,8 +73,30 @@ def fact_employment(spark, folder):
     return loaded.rows.withColumn("people_employed", F.col("people_employed").cast("double"))
 
 
+def _spoiled(series):
+    area = F.nullif(series["catalog"]["area"], F.lit("1-URGENT"))
+    unknown = F.coalesce(area == "F", F.lit(False))
+
+    def figure(one):
+        strange = unknown & (one["period"] != schemas.ANNUAL_PERIOD)
+        period = F.when(strange, "Mxx").otherwise(one["period"])
+        return F.struct(one["year"].alias("year"), period.alias("period"), one["value"].alias("value"))
+
+    return F.struct(
+        F.struct(area.alias("area")).alias("catalog"),
+        F.transform(series["data"], figure).alias("data"),
+    )
+
+
 def employment_report(spark, folder):
-    report = prepare(employment_indicator(), documents(spark, folder)).report
+    """Documents in which an area is missing and another has unknown periods."""
+    spoiled = documents(spark, folder).withColumn(
+        "Results",
+        F.struct(
+            F.transform("Results.series", lambda series: _spoiled(series)).alias("series")
+        ),
+    )
+    report = prepare(employment_indicator(), spoiled).report
     return report.withColumn("passed", F.col("passed").cast("int"))
 
 
@@ -97,7 +125,8 @@ def employment_ingest(spark, folder):
         F.struct(F.array(series).alias("series")).alias("Results"),
         delivered.alias("ingest_month"),
     )
-    for arrived in (F.col("ingest_month") >= "199801", F.col("ingest_month") < "199801"):
+    early = F.coalesce(F.col("ingest_month") < "199801", F.lit(False))
+    for arrived in (~early, early):
         clustered(raw.where(arrived), ["ingest_month"]).write.mode("append").partitionBy(
             "ingest_month"
         ).json(landing)
@@ -105,12 +134,48 @@ def employment_ingest(spark, folder):
     return store.read(spark).select(*schemas.FACT_EMPLOYMENT.fieldNames(), "ingest_month")
 
 
-def _weather(spark, folder):
+def ingest_rejects(spark, folder):
+    """Broken documents and unknown periods: good and rejected rows are all rows.
+
+    An order with status P gives text that is not JSON, one with status O a
+    figure of an unknown period; of each, the number that went where.
+    """
+    landing, progress = new_folder(spark, "landing"), new_folder(spark, "progress")
+    store = employment_store(new_folder(spark, "store"))
+    month = F.date_format("o_orderdate", "MM")
+    period = F.when(F.col("o_orderstatus") == "O", "Mxx").otherwise(F.concat(F.lit("M"), month))
+    figure = F.struct(
+        F.date_format("o_orderdate", "yyyy").alias("year"),
+        period.alias("period"),
+        F.col("o_custkey").cast("string").alias("value"),
+    )
+    # Every order has an area of its own, so that no figure replaces another.
+    area = F.struct(F.col("o_orderkey").cast("string").alias("area"))
+    series = F.struct(area.alias("catalog"), F.array(figure).alias("data"))
+    document = F.to_json(F.struct(F.struct(F.array(series).alias("series")).alias("Results")))
+    text = F.when(F.col("o_orderstatus") == "P", F.substring(document, 1, 20)).otherwise(document)
+    table(spark, folder, "orders").select(
+        text.alias("value"), F.date_format("o_orderdate", "yyyy01").alias("ingest_month")
+    ).write.partitionBy("ingest_month").text(landing)
+    ingest_available(spark, landing, DELIVERY, deliveries, store, progress)
+    rejects = spark.read.parquet(f"{store.path}_rejects")
+    return (
+        store.read(spark)
+        .select(F.lit("").alias("reject_reason"))
+        .unionByName(rejects.select("reject_reason"))
+        .groupBy("reject_reason")
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def _weather(spark, folder, farthest_km=None):
     path = new_folder(spark, "raw")
     write_csv(raw_weather(spark, folder), path)
     raw = read_header_csv(spark, path, schemas.RAW_WEATHER.fieldNames())
     return load(
-        weather_indicator(cities(spark, folder)), raw, new_folder(spark, "warehouse")
+        weather_indicator(cities(spark, folder), farthest_km=farthest_km),
+        raw,
+        new_folder(spark, "warehouse"),
     )
 
 
@@ -119,9 +184,16 @@ def fact_weather(spark, folder):
     return rows.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
+def fact_weather_near(spark, folder):
+    rows = _weather(spark, folder, farthest_km=100.0).rows
+    return rows.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
 def weather_rejects(spark, folder):
-    rejects = _weather(spark, folder).rejects
-    return rejects.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    rejects = _weather(spark, folder, farthest_km=100.0).rejects
+    return rejects.withColumns(
+        {"date": F.date_format("date", "yyyy-MM-dd"), "km": F.round("km", 3)}
+    )
 
 
 QUERIES = {
@@ -131,7 +203,9 @@ QUERIES = {
     "employment_ingest": employment_ingest,
     "employment_report": employment_report,
     "employment_null_check": employment_null_check,
+    "ingest_rejects": ingest_rejects,
     "fact_weather": fact_weather,
+    "fact_weather_near": fact_weather_near,
     "weather_rejects": weather_rejects,
 }
 
@@ -150,7 +224,7 @@ _SQL_LOCATED = f"""
                CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END
                    AS avg_temp_uncertainty,
                o_orderpriority AS city,
-               CASE WHEN km <= 100 THEN state END AS state,
+               state, latitude, longitude, round(km, 3) AS km,
                strftime(o_orderdate, '%Y-%m-%d') AS date
         FROM points JOIN near USING (latitude, longitude))"""
 
@@ -165,7 +239,13 @@ SQL = {
         WITH p AS ({SQL_PLACES.replace("('HOUSEHOLD', 'MACHINERY')",
                                        "('Puerto Rico', 'District of Columbia')")})
         SELECT row_number() OVER (ORDER BY state, city) AS city_id, * FROM p""",
-    "fact_employment": SQL_FIGURES,
+    "fact_employment": f"""
+        SELECT state, year, month, max(people_employed) AS people_employed
+        FROM ({SQL_FIGURES}) GROUP BY state, year, month""",
+    "ingest_rejects": """
+        SELECT CASE o_orderstatus WHEN 'P' THEN 'unreadable' WHEN 'O' THEN 'month is null'
+                    ELSE '' END AS reject_reason, count(*) AS n
+        FROM orders GROUP BY 1""",
     "employment_ingest": """
         SELECT o_orderstatus AS state, cast(year(o_orderdate) as integer) AS year,
                cast(month(o_orderdate) as integer) AS month,
@@ -176,18 +256,34 @@ SQL = {
                    as bigint) * 1000 AS people_employed
         FROM orders GROUP BY 1, 2, 3""",
     "employment_report": f"""
-        WITH f AS ({SQL_FIGURES}),
-        k AS (SELECT 1 FROM f GROUP BY state, year, month HAVING count(*) > 1),
+        WITH f AS (
+            SELECT nullif(state, '1-URGENT') AS state, year,
+                   CASE WHEN state <> 'F' THEN month END AS month, people_employed
+            FROM ({SQL_FIGURES})),
+        g AS (
+            SELECT state, year, month, max(people_employed) AS people_employed FROM f
+            WHERE state IS NOT NULL AND year IS NOT NULL AND month IS NOT NULL
+            GROUP BY state, year, month),
         c AS (
-            SELECT 'state is null' AS check_name, cast(0 as bigint) AS actual,
-                   'failure' AS severity
-            UNION ALL SELECT 'year is null', 0, 'failure'
-            UNION ALL SELECT 'month is null', 0, 'failure'
-            UNION ALL SELECT 'people_employed is null', count(*), 'warning'
-            FROM f WHERE people_employed IS NULL
-            UNION ALL SELECT 'rejected rows', 0, 'warning'
-            UNION ALL SELECT 'repeated keys', count(*), 'warning' FROM k)
-        SELECT 'fact_employment' AS relation, check_name, actual,
+            SELECT ' input' AS side, 'state is null' AS check_name,
+                   count(*) FILTER (WHERE state IS NULL) AS actual, 'warning' AS severity FROM f
+            UNION ALL SELECT ' input', 'year is null',
+                   count(*) FILTER (WHERE year IS NULL), 'warning' FROM f
+            UNION ALL SELECT ' input', 'month is null',
+                   count(*) FILTER (WHERE month IS NULL), 'warning' FROM f
+            UNION ALL SELECT ' input', 'rejected rows', count(*) FILTER (
+                   WHERE state IS NULL OR year IS NULL OR month IS NULL), 'warning' FROM f
+            UNION ALL SELECT '', 'state is null', count(*) FILTER (WHERE state IS NULL),
+                   'failure' FROM g
+            UNION ALL SELECT '', 'year is null', count(*) FILTER (WHERE year IS NULL),
+                   'failure' FROM g
+            UNION ALL SELECT '', 'month is null', count(*) FILTER (WHERE month IS NULL),
+                   'failure' FROM g
+            UNION ALL SELECT '', 'people_employed is null',
+                   count(*) FILTER (WHERE people_employed IS NULL), 'warning' FROM g
+            UNION ALL SELECT '', 'repeated keys', count(*) - count(DISTINCT (state, year, month)),
+                   'failure' FROM g)
+        SELECT 'fact_employment' || side AS relation, check_name, actual,
                cast(0 as bigint) AS expected,
                CASE WHEN actual = 0 THEN 1 ELSE 0 END AS passed, severity
         FROM c""",
@@ -196,7 +292,11 @@ SQL = {
         SELECT '' AS relation, 'people_employed is null' AS check_name,
                count(*) AS actual, cast(0 as bigint) AS expected
         FROM f WHERE people_employed IS NULL""",
-    "fact_weather": f"{_SQL_LOCATED} SELECT * FROM located WHERE state IS NOT NULL",
+    "fact_weather": f"""{_SQL_LOCATED}
+        SELECT * EXCLUDE (latitude, longitude, km) FROM located""",
+    "fact_weather_near": f"""{_SQL_LOCATED}
+        SELECT * EXCLUDE (latitude, longitude, km) FROM located WHERE km <= 100""",
     "weather_rejects": f"""{_SQL_LOCATED}
-        SELECT *, 'state is null' AS reject_reason FROM located WHERE state IS NULL""",
+        SELECT * REPLACE (CAST(NULL AS VARCHAR) AS state), 'state is null' AS reject_reason
+        FROM located WHERE km > 100""",
 }

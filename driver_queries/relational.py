@@ -19,7 +19,7 @@ from driver_queries.stand_ins import (
 )
 from statewise.functions.coordinates import coordinate_key
 from statewise.operators.latest import latest_by_key, repeated_keys
-from statewise.operators.lookup import build_lookup, enrich_by_key
+from statewise.operators.lookup import enrich_by_key, extend_lookup, join_lookup
 from statewise.operators.nearest import nearest_place
 from statewise.operators.quality import (
     Check,
@@ -30,10 +30,10 @@ from statewise.operators.quality import (
     with_reason,
 )
 from statewise.plans.employment import clean_employment
-from statewise.plans.places import clean_places
+from statewise.plans.places import clean_places, excluding
 from statewise.plans.weather import clean_weather
 from statewise.sources.files import read_documents
-from statewise.workspace import new_folder, settle
+from statewise.workspace import new_folder
 
 NOT_SEGMENTS = ("HOUSEHOLD", "MACHINERY")
 
@@ -48,11 +48,8 @@ def preview(spark, folder):
 
 def not_in_null(spark, folder):
     segment = F.nullif("c_mktsegment", F.lit("HOUSEHOLD"))
-    return (
-        table(spark, folder, "customer")
-        .where(~segment.isin("MACHINERY", "BUILDING"))
-        .select("c_custkey", segment.alias("segment"))
-    )
+    customers = table(spark, folder, "customer").select("c_custkey", segment.alias("segment"))
+    return excluding(customers, "segment", ["MACHINERY", "BUILDING"])
 
 
 def hidden_filter(spark, folder):
@@ -87,8 +84,8 @@ def nested_explode(spark, folder):
     )
 
 
-def _supply_points(spark, folder):
-    return table(spark, folder, "lineitem").select(
+def _supply_points(spark, folder, wanted="true"):
+    return table(spark, folder, "lineitem").where(wanted).select(
         "l_orderkey",
         "l_linenumber",
         (F.col("l_suppkey") % 50).cast("double").alias("latitude"),
@@ -109,19 +106,29 @@ def distinct_lookup_join(spark, folder):
 
 
 def lookup_new_keys(spark, folder):
-    points = _supply_points(spark, folder)
-    returned = table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
-    earlier = returned.select(
-        (F.col("l_suppkey") % 50).cast("double").alias("latitude"),
-        (F.col("l_partkey") % 50).cast("double").alias("longitude"),
-    ).distinct()
-    stored = settle(earlier.withColumn("place", F.lit("stored")), "stored")
-    known = build_lookup(points, ["latitude", "longitude"], _enriched, stored)
+    """A lasting lookup, extended twice: the second time asks for new keys only."""
+    path, keys = new_folder(spark, "lookup"), ["latitude", "longitude"]
+    returned = _supply_points(spark, folder, "l_returnflag = 'R'")
+    extend_lookup(path, returned, keys, lambda new: new.withColumn("place", F.lit("stored")))
+    known = extend_lookup(path, _supply_points(spark, folder), keys, _enriched)
     return known.groupBy((F.col("place") == "stored").cast("int").alias("was_stored")).agg(
         F.count("*").alias("n")
     )
 
 
+def hot_key_join(spark, folder):
+    """A third of the rows on one key, joined with a lookup that is not broadcast."""
+    lines = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_linenumber") % 3 == 0, 1).otherwise(F.col("l_orderkey")).alias("o_orderkey"),
+        "l_quantity",
+    )
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    joined = join_lookup(lines, orders.hint("merge"), ["o_orderkey"], "left")
+    return joined.groupBy("o_orderpriority").agg(
+        F.count("*").alias("n"), F.sum("l_quantity").alias("quantity")
+    )
+
+
 def nearest_lookup(spark, folder):
     customers = table(spark, folder, "customer").select(
         "c_custkey", *coordinates(F.col("c_custkey"))
@@ -238,6 +245,7 @@ QUERIES = {
     "nested_explode": nested_explode,
     "distinct_lookup_join": distinct_lookup_join,
     "lookup_new_keys": lookup_new_keys,
+    "hot_key_join": hot_key_join,
     "nearest_lookup": nearest_lookup,
     "upsert_by_key": upsert_by_key,
     "key_violations": key_violations,
@@ -273,6 +281,12 @@ SQL = {
                    max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS was_stored
             FROM lineitem GROUP BY 1, 2)
         GROUP BY 1""",
+    "hot_key_join": """
+        WITH l AS (
+            SELECT CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_orderkey END AS k, l_quantity
+            FROM lineitem)
+        SELECT o_orderpriority, count(*) AS n, sum(l_quantity) AS quantity
+        FROM l LEFT JOIN orders ON k = o_orderkey GROUP BY 1""",
     "nearest_lookup": f"""
         WITH a AS (SELECT c_custkey, {sql_coordinates('c_custkey')} FROM customer),
         b AS (SELECT s_suppkey, {sql_coordinates('(s_suppkey + 17)')} FROM supplier)

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statewise.workspace import new_folder
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def new_database(spark: SparkSession) -> str:
+    """A database of the run's own, so that no shared name is touched."""
+    name = f"run_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(spark, name)}'")
+    return name
+
+
 def day_text(stamp: str) -> Column:
     return F.date_format(stamp, "yyyy-MM-dd")
 

@@ -7,7 +7,9 @@ import datetime
 from pyspark.sql import functions as F
 
 from driver_queries.stand_ins import table
+from statewise.operators.lookup import join_dimension
 from statewise.plans.star import (
+    facts_by_dimension,
     place_profiles,
     rank_places,
     summary_in_range,
@@ -41,26 +43,24 @@ def employment_month_agg(spark, folder):
 
 
 def star_join(spark, folder):
-    # Orders are reduced to one row per customer and year before they meet the
-    # dimensions: a customer with a third of the orders joins as few rows.
-    spent = (
-        table(spark, folder, "orders")
-        .groupBy("o_custkey", F.year("o_orderdate").alias("year"))
-        .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("spent"), F.count("*").alias("n"))
-    )
-    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return (
-        spent.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_nationkey", "year")
-        .agg(F.sum("spent").alias("spent"), F.sum("n").alias("n_orders"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            "r_name", "n_name", "year", F.col("spent").cast("double").alias("spent"), "n_orders"
-        )
+    customers = join_dimension(
+        table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
+        ),
+        nations.select("n_nationkey", "n_name", "r_name"),
+        ["n_nationkey"],
+    )
+    found = facts_by_dimension(
+        table(spark, folder, "orders").withColumn("year", F.year("o_orderdate")),
+        customers,
+        ["o_custkey"],
+        ["r_name", "n_name", "year"],
+        {"spent": F.sum(F.col("o_totalprice").cast(MONEY)), "n_orders": F.count("*")},
     )
+    return found.withColumn("spent", F.col("spent").cast("double"))
 
 
 def ranked_customers(spark, folder):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driver_queries.stand_ins import table
+from driver_queries.stand_ins import new_database, table
 from statewise.operators.ordering import number_rows
 from statewise.sinks.files import replace_partitions, write_csv, write_partitioned
 from statewise.sinks.tables import read_load_file, save_bucketed
@@ -98,10 +98,12 @@ def bucketed_join(spark, folder):
     place = new_folder(spark, "bucketed")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
-    save_bucketed(orders, "bucketed_orders", f"{place}/orders", ["o_orderkey"], 16)
-    save_bucketed(lines, "bucketed_lines", f"{place}/lines", ["l_orderkey"], 16)
-    joined = spark.table("bucketed_lines").join(
-        spark.table("bucketed_orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    database = new_database(spark)
+    tables = {"orders": (orders, "o_orderkey"), "lines": (lines, "l_orderkey")}
+    for name, (rows, key) in tables.items():
+        save_bucketed(rows, f"{database}.{name}", f"{place}/{name}", [key], 16)
+    joined = spark.table(f"{database}.lines").join(
+        spark.table(f"{database}.orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     return joined.groupBy("o_orderstatus").agg(
         F.count("*").alias("n"), F.sum("l_quantity").alias("quantity")
@@ -127,18 +129,31 @@ def _latest_events(path):
 def upsert_store(spark, folder):
     events = table(spark, folder, "events").select(*EVENTS.fieldNames())
     store = _latest_events(new_folder(spark, "store"))
-    late = F.col("value") >= 10
+    late = F.coalesce(F.col("value") >= 10, F.lit(False))  # NULL is not late
     upsert(store, events.where(late))
     upsert(store, events.where(~late))
     upsert(store, events.where(late))  # a repeated load changes nothing
     return store.read(spark).drop("ts")
 
 
+def upsert_null_partition(spark, folder):
+    """A store whose partition column is NULL in some rows, brought in by halves."""
+    events = table(spark, folder, "events").select(
+        "event_id", "ts", "user_id", F.nullif("event_type", F.lit("view")).alias("event_type"), "value"
+    )
+    store = _latest_events(new_folder(spark, "store"))
+    even = F.col("user_id") % 2 == 0  # the halves share partitions but no keys
+    for half in (even, ~even):
+        upsert(store, events.where(half))
+    return store.read(spark).drop("ts")
+
+
 def incremental_ingest(spark, folder):
     landing, checkpoint = new_folder(spark, "landing"), new_folder(spark, "progress")
     store = _latest_events(new_folder(spark, "store"))
     events = table(spark, folder, "events").select(*EVENTS.fieldNames())
-    for arrived in (F.col("value") < 10, F.col("value") >= 10):
+    late = F.coalesce(F.col("value") >= 10, F.lit(False))
+    for arrived in (~late, late):
         events.where(arrived).write.mode("append").json(landing)
         ingest_available(spark, landing, EVENTS, lambda raw: raw, store, checkpoint)
     discard(spark, landing)
@@ -183,6 +198,7 @@ QUERIES = {
     "sorted_layout": sorted_layout,
     "bucketed_join": bucketed_join,
     "upsert_store": upsert_store,
+    "upsert_null_partition": upsert_null_partition,
     "incremental_ingest": incremental_ingest,
     "zip_member_rows": zip_member_rows,
 }
@@ -222,6 +238,11 @@ SQL = {
         SELECT o_orderstatus, count(*) AS n, sum(l_quantity) AS quantity
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
     "upsert_store": _LATEST,
+    "upsert_null_partition": """
+        SELECT event_id, user_id, nullif(event_type, 'view') AS event_type, value FROM events
+        QUALIFY row_number() OVER (
+            PARTITION BY user_id, nullif(event_type, 'view')
+            ORDER BY ts DESC, event_id DESC) = 1""",
     "incremental_ingest": _LATEST,
     "zip_member_rows": _ORDERS,
 }

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statewise.workspace import settle
+from statewise.workspace import folder_exists, settle
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 2**20
-SALTS = 16
 
 
 def has_at_most(df: DataFrame, rows: int, n_bytes: int | None = None) -> bool:
@@ -33,31 +32,36 @@ def has_at_most(df: DataFrame, rows: int, n_bytes: int | None = None) -> bool:
 
 
 def join_lookup(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Equi-join ``rows`` (any size, any skew) with one-row-per-key ``lookup``.
 
-    A lookup proven small is broadcast (the check reads it, so hand in a written
-    table or something as cheap) and ``rows`` is not shuffled. A larger
-    one is shuffled with ``rows``; then every key is spread over ``salts``
-    sub-keys, so that a key holding a third of ``rows`` does not end up in one
-    task. The salt is a hash of the row: a recomputed task places its rows as
-    the lost one did.
+    A plain join: hand in a written lookup, whose true size the planner knows,
+    and it is broadcast when small. Otherwise both sides are shuffled, and
+    adaptive execution splits the partition of a key that holds a third of
+    ``rows``; the lookup is neither copied nor are rows told apart.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"a lookup join is inner or left, not {how}")
-    keys = list(keys)
-    if has_at_most(lookup, broadcast_rows, BROADCAST_BYTES):
-        return rows.join(F.broadcast(lookup), keys, how)
-    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
-    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    copies = lookup.withColumn("_salt", F.explode(every_salt))
-    return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return rows.join(lookup, list(keys), how)
+
+
+def join_dimension(
+    facts: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    rows: int = BROADCAST_ROWS,
+    n_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Join facts with a small dimension where they lie, without shuffling them.
+
+    The dimension is counted and measured first and broadcast only within the
+    given bounds; beyond them it is a plain join.
+    """
+    if has_at_most(dimension, rows, n_bytes):
+        dimension = F.broadcast(dimension)
+    return join_lookup(facts, dimension, keys, how)
 
 
 def only_new_keys(
@@ -73,18 +77,34 @@ def build_lookup(
     enrich: Callable[[DataFrame], DataFrame],
     stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Enrich every distinct key once and keep the answers in a written table.
+    """Enrich every distinct key once; answers are a written table.
 
     ``enrich`` maps a frame of distinct keys to the same keys with further
-    columns. With ``stored``, only keys missing there are enriched.
+    columns. With ``stored``, only keys missing there are enriched; a column
+    that the stored answers lack is NULL for them.
     """
     wanted = rows.select(*keys).dropna(subset=list(keys)).distinct()
-    if stored is not None:
-        wanted = only_new_keys(wanted, stored, keys)
-    answers = enrich(wanted)
-    if stored is not None:
-        answers = stored.unionByName(answers)
-    return settle(answers, "lookup")
+    if stored is None:
+        return settle(enrich(wanted), "lookup")
+    answers = settle(enrich(only_new_keys(wanted, stored, keys)), "lookup")
+    return answers.unionByName(stored, allowMissingColumns=True)
+
+
+def extend_lookup(
+    path: str,
+    rows: DataFrame,
+    keys: Sequence[str],
+    enrich: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """A lasting lookup at ``path``: keys of ``rows`` not yet there are enriched
+    and appended. What is stored is never rewritten. Gives the whole lookup."""
+    spark = rows.sparkSession
+    wanted = rows.select(*keys).dropna(subset=list(keys)).distinct()
+    if folder_exists(spark, path):
+        wanted = only_new_keys(wanted, spark.read.parquet(path), keys)
+    # Settled first: an append must not read the table it appends to.
+    settle(enrich(wanted), "answers").write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 def enrich_by_key(

@@ -201,7 +201,7 @@ def nearest_place(
             .agg(F.count("*").alias("listed"))
             .where(
                 (F.col("listed") > short_list)
-                | ((F.col("cell_points") > cell_points) & (F.col("listed") > 1))
+                | (F.col("cell_points") > cell_points)  # no task joins more points
             )
             .select("cell_row", "cell_col"),
             "crowded",

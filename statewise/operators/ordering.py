@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from statewise.operators.lookup import has_at_most, join_lookup
+from statewise.operators.lookup import join_lookup
 from statewise.workspace import settle
 
-ONE_TASK_ROWS = 100_000
 _LOCAL = 2**33  # monotonically_increasing_id counts partitions in units of this
 
 
@@ -63,21 +62,13 @@ def rows_below(df: DataFrame, value: str, name: str = "below") -> DataFrame:
     return ordered.join(offsets, "_part").select(value, below.cast("bigint").alias(name))
 
 
-def percent_ranks(
-    df: DataFrame, values: Sequence[str], one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def percent_ranks(df: DataFrame, values: Sequence[str]) -> DataFrame:
     """Add ``<value>_rank``, the percent rank (0 to 1) of each value column.
 
-    Up to ``one_task_rows`` rows an ordinary window does; beyond that the ranks
-    come from sorted value counts. NULL values get a NULL rank and do not count.
+    Ranks come from sorted counts of the distinct values, at any size. NULL
+    values get a NULL rank and do not count.
     """
     df = settle(df, "ranked")  # read once per value below
-    if has_at_most(df, one_task_rows):
-        for value in values:
-            present = W.partitionBy(F.col(value).isNull()).orderBy(value)
-            rank = F.when(F.col(value).isNotNull(), F.percent_rank().over(present))
-            df = df.withColumn(f"{value}_rank", rank)
-        return df
     totals = df.agg(*[F.count(value).alias(value) for value in values]).first()
     for value in values:
         step = max(1, totals[value] - 1)

@@ -60,16 +60,21 @@ def measure(df: DataFrame, checks: Sequence[Check], relation: str = "") -> DataF
 def measure_queries(
     spark: SparkSession, expectations: Mapping[str, object]
 ) -> DataFrame:
-    """First column of the first row of each SQL query against an expected value."""
+    """First column of the first row of each SQL query against an expected value.
+
+    A query without a row is a failed check, whatever it expects.
+    """
 
     def line(query: str, expected: object) -> DataFrame:
         answer = spark.sql(query).limit(1)
-        actual = answer[answer.columns[0]]
+        answer = answer.select(answer[answer.columns[0]].alias("actual"), F.lit(True).alias("given"))
+        answer = spark.range(1).join(answer, F.lit(True), "left")
+        actual = F.col("actual")
         return answer.select(
             F.lit(query).alias("check_name"),
             actual.cast("string").alias("actual"),
             F.lit(expected).cast("string").alias("expected"),
-            actual.eqNullSafe(F.lit(expected)).alias("passed"),
+            (F.col("given").isNotNull() & actual.eqNullSafe(F.lit(expected))).alias("passed"),
         )
 
     lines = [line(query, expected) for query, expected in expectations.items()]

@@ -11,7 +11,7 @@ from statewise.functions.periods import is_calendar_month, month_of_period
 from statewise.functions.values import people_from_thousands, series_id
 from statewise.operators.nested import flatten_series
 from statewise.sinks.upsert import KeyedStore
-from statewise.sources.files import MONTH_COLUMN
+from statewise.sources.files import MONTH_COLUMN, UNREADABLE
 
 ARRIVED = "arrived_at"
 
@@ -32,20 +32,32 @@ STORED = T.StructType(
 def clean_employment(
     documents: DataFrame, *keep: str, whole_thousands: bool = False
 ) -> DataFrame:
-    """(*keep, state, year, month, people_employed), calendar months only."""
+    """(*keep, state, year, month, people_employed), a row per figure.
+
+    Only the annual average is dropped. Any other period that is not a calendar
+    month has a NULL month, for the quality gate to reject.
+    """
+    month = month_of_period(F.col("period"))
     return (
         flatten_series(documents, *keep)
+        .where(~F.col("period").eqNullSafe(schemas.ANNUAL_PERIOD))
         .select(
             *keep,
             "state",
             F.col("year").try_cast("int").alias("year"),
-            month_of_period(F.col("period")).alias("month"),
+            F.when(is_calendar_month(month), month).alias("month"),
             people_from_thousands(F.col("value"), whole_thousands).alias("people_employed"),
         )
-        .where(is_calendar_month(F.col("month")))
     )
 
 
+def employment_rows(documents: DataFrame) -> DataFrame:
+    """``clean_employment`` with a row of NULLs and its text for every document
+    that could not be read, where ``documents`` keeps that text."""
+    keep = [UNREADABLE] if UNREADABLE in documents.columns else []
+    return clean_employment(documents, *keep)
+
+
 def deliveries(documents: DataFrame) -> DataFrame:
     """Rows for the employment store from documents in month folders."""
     arrived = documents.select(

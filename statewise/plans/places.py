@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from statewise import schemas
 
 
+def excluding(df: DataFrame, column: str, values: Iterable[str]) -> DataFrame:
+    """Rows whose ``column`` is not in a list; a NULL is not *not in* it."""
+    return df.where(~F.col(column).isin(*values))
+
+
 def clean_places(
     raw: DataFrame, not_states: Iterable[str] = schemas.NOT_STATES
 ) -> DataFrame:
@@ -18,7 +23,7 @@ def clean_places(
     A row with no state name is dropped: NULL is never *not in* a list.
     """
     return (
-        raw.where(~F.col("state_name").isin(*not_states))
+        excluding(raw, "state_name", not_states)
         .select(
             F.col("city_ascii").alias("city"),
             F.col("state_name").alias("state"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from statewise.operators.lookup import join_lookup
+from statewise.operators.lookup import join_dimension, join_lookup
 from statewise.operators.ordering import percent_ranks
 from statewise.workspace import settle
 
@@ -44,6 +44,21 @@ def total_by_month(
     )
 
 
+def facts_by_dimension(
+    facts: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    totals: Mapping[str, Column],
+) -> DataFrame:
+    """Totals of facts by attributes of a small dimension.
+
+    The dimension comes to the facts, which are shuffled only as partial totals.
+    """
+    joined = join_dimension(facts, dimension, keys)
+    return joined.groupBy(*by).agg(*[total.alias(name) for name, total in totals.items()])
+
+
 def one_place_per_name(cities: DataFrame) -> DataFrame:
     """The most populous place of each (city, state), so that facts joined by
     name do not multiply."""

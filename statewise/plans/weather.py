@@ -11,8 +11,8 @@ from statewise.functions.periods import parsed_date
 from statewise.operators.lookup import enrich_by_key
 from statewise.operators.nearest import nearest_place
 
-FARTHEST_KM = 100.0
 COORDINATES = ("latitude", "longitude")
+WHERE = (*COORDINATES, "km")  # what tells why a row found no state
 
 
 def clean_weather(raw: DataFrame, country: str = schemas.WEATHER_COUNTRY) -> DataFrame:
@@ -31,35 +31,37 @@ def clean_weather(raw: DataFrame, country: str = schemas.WEATHER_COUNTRY) -> Dat
 
 
 def state_of_coordinates(
-    coordinates: DataFrame, cities: DataFrame, farthest_km: float = FARTHEST_KM
+    coordinates: DataFrame, cities: DataFrame, farthest_km: float | None = None
 ) -> DataFrame:
-    """State of the city nearest to each coordinate, NULL beyond ``farthest_km``.
+    """State of the city nearest to each coordinate, and its distance ``km``.
 
-    The nearest city may lie across a state border; a smaller distance keeps
-    such rows out at the price of more rejects.
+    The state is that of the nearest city at any distance, or NULL beyond
+    ``farthest_km`` where that is given. The nearest city may lie across a state
+    border; a limit keeps doubtful rows out at the price of more rejects.
     """
     near = nearest_place(coordinates, cities, "city_id", carry=["state"])
-    state = F.when(F.col("km") <= farthest_km, F.col("state")).alias("state")
-    return near.select(*COORDINATES, state)
+    state = F.col("state")
+    if farthest_km is not None:
+        state = F.when(F.col("km") <= farthest_km, state)
+    return near.select(*COORDINATES, state.alias("state"), "km")
 
 
 def weather_with_state(
     cleaned: DataFrame,
     cities: DataFrame,
     stored: DataFrame | None = None,
-    farthest_km: float = FARTHEST_KM,
+    farthest_km: float | None = None,
 ) -> DataFrame:
-    """Cleaned rows with their state instead of coordinates.
+    """Cleaned rows with their state and the distance of the city that gave it.
 
     Each distinct coordinate is looked up once; with ``stored``, only those not
     looked up before. A row whose coordinate finds no state keeps NULL, for the
     quality gate to reject.
     """
-    located = enrich_by_key(
+    return enrich_by_key(
         cleaned,
         COORDINATES,
         lambda coordinates: state_of_coordinates(coordinates, cities, farthest_km),
         stored,
         how="left",
     )
-    return located.drop(*COORDINATES)

@@ -12,15 +12,19 @@ from pyspark.sql import types as T
 HOME_COUNTRY = "United States of America"
 WEATHER_COUNTRY = "United States"
 NOT_STATES = ("Puerto Rico", "District of Columbia")
+ANNUAL_PERIOD = "M13"
 SERIES_SURVEY = "SM"
 SERIES_ADJUSTMENT = "U"
 SERIES_AREA = "00000"
 SERIES_INDUSTRY = "00000000"
 SERIES_DATA_TYPE = "01"
 STATE_CODES = (
-    "01 02 04 05 06 08 09 10 12 13 15 16 17 18 19 20 21 22 23 24 25 26 27 28 29 "
-    "30 31 32 33 34 35 36 37 38 39 40 41 42 44 45 46 47 48 49 50 51 53 54 55 56"
-).split()
+    "01", "02", "04", "05", "06", "08", "09", "10", "12", "13",
+    "15", "16", "17", "18", "19", "20", "21", "22", "23", "24",
+    "25", "26", "27", "28", "29", "30", "31", "32", "33", "34",
+    "35", "36", "37", "38", "39", "40", "41", "42", "44", "45",
+    "46", "47", "48", "49", "50", "51", "53", "54", "55", "56",
+)
 # ----------------------------------------------------------------------------
 
 

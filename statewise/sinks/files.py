@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -12,6 +14,20 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def no_empty_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """``df``, failing the write when a partition column holds an empty text: a
+    folder cannot tell it from NULL."""
+    texts = [name for name in partition_by if isinstance(df.schema[name].dataType, T.StringType)]
+    return df.withColumns(
+        {
+            name: F.when(
+                F.col(name) == "", F.raise_error(F.lit(f"empty text in partition column {name}"))
+            ).otherwise(F.col(name))
+            for name in texts
+        }
+    )
+
+
 def clustered(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
     """Rows of one partition value brought together before a partitioned write.
 
@@ -31,7 +47,7 @@ def write_partitioned(
     range filters skip most of them.
     """
     (
-        clustered(df, partition_by, sort_by)
+        clustered(no_empty_partition(df, partition_by), partition_by, sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*partition_by)
@@ -48,7 +64,7 @@ def replace_partitions(
     from ``path``. Rows that come clustered are not shuffled again.
     """
     (
-        (df if is_clustered else clustered(df, partition_by))
+        (df if is_clustered else clustered(no_empty_partition(df, partition_by), partition_by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from statewise import schemas
 from statewise.operators.ordering import number_rows
 from statewise.operators.quality import QualityError
+from statewise.sources.files import UNREADABLE
 from statewise.workspace import settle
 
 # How each fact table is laid out: the columns most queries select by.
@@ -69,13 +70,38 @@ def arranged(
     )
 
 
+def _read_text(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """A headed CSV file as text, with ``unreadable`` for lines of another length."""
+    text = [T.StructField(name, T.StringType()) for name in (*columns, UNREADABLE)]
+    return spark.read.schema(T.StructType(text)).csv(
+        path, header=True, escape='"', columnNameOfCorruptRecord=UNREADABLE
+    )
+
+
+def _misfits(rows: DataFrame, columns: Sequence[str], target: T.StructType) -> dict[str, int]:
+    """Numbers of lines and fields that do not fit the target, by what is wrong."""
+    found = {"lines with another number of fields": F.col(UNREADABLE).isNotNull()}
+    for name in columns:
+        cast = F.col(name).try_cast(target[name].dataType)
+        found[f"{name} unfit"] = F.col(name).isNotNull() & cast.isNull()
+    counts = rows.agg(*[F.count_if(wrong).alias(name) for name, wrong in found.items()]).first()
+    return {name: n for name, n in counts.asDict().items() if n}
+
+
 def read_load_file(
     spark: SparkSession, path: str, columns: Sequence[str], target: T.StructType
 ) -> DataFrame:
-    """A headed CSV file in the order of ``columns``, as rows of the target."""
-    text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    rows = spark.read.schema(text).csv(path, header=True, escape='"')
-    return arranged(rows, columns, target)
+    """A headed CSV file in the order of ``columns``, as rows of the target.
+
+    Refused as a whole when a line has another number of fields or a text does
+    not fit the type of its column; the error says how many.
+    """
+    rows = settle(_read_text(spark, path, columns), "load")
+    wrong = _misfits(rows, columns, target)
+    if wrong:
+        said = ", ".join(f"{name}: {n}" for name, n in wrong.items())
+        raise QualityError(f"{path} does not fit: {said}")
+    return arranged(rows.drop(UNREADABLE), columns, target)
 
 
 def insert(spark: SparkSession, table: str, rows: DataFrame, overwrite: bool = False) -> None:
@@ -92,8 +118,8 @@ def load_file(
 ) -> None:
     """Append a processed CSV file to a table of the star schema.
 
-    The whole load is refused when a required column has a NULL, for example
-    because a text did not fit the type. A missing key is numbered on.
+    The whole load is refused when a line or a text does not fit, or when a
+    required column has a NULL. A missing key is numbered on.
     """
     target = schemas.TABLES[table]
     rows = settle(
@@ -120,7 +146,8 @@ def save_bucketed(
     Two tables bucketed alike join without a shuffle. A bucket is read by one
     task: use it for keys without very frequent values, else partition.
     """
-    writer = df.write.mode("overwrite").option("path", path).format("parquet")
+    # Each bucket in one task first: otherwise every task writes into every bucket.
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).format("parquet")
     writer = writer.bucketBy(buckets, *keys)
     if sort_by:
         writer = writer.sortBy(*sort_by)

@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statewise.operators.latest import latest_by_key
-from statewise.sinks.files import clustered, replace_partitions
+from statewise.sinks.files import clustered, no_empty_partition, replace_partitions
 from statewise.workspace import discard, folder_exists, folder_is_complete, new_folder
 
-LISTED_PARTITIONS = 200
-
 
 @dataclass(frozen=True)
 class KeyedStore:
@@ -44,22 +42,24 @@ class KeyedStore:
 
 
 def _touched(stored: DataFrame, changes: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Stored rows of the partitions that ``changes`` has rows for.
+    """Stored rows of the partitions that ``changes`` has rows for, NULL ones too.
 
-    A short list of partitions becomes a partition filter of the scan; a longer
-    one is joined.
+    The partitions become a partition filter of the scan. Their list is as
+    long as that of the folders which the planner lists for the write.
     """
-    touched = changes.select(*partition_by).distinct()
-    listed = touched.limit(LISTED_PARTITIONS + 1).collect()
-    if len(listed) > LISTED_PARTITIONS:
-        return stored.join(touched, list(partition_by), "left_semi")
+    listed = changes.select(*partition_by).distinct().collect()
     matches = [
         reduce(
-            lambda a, b: a & b, [F.col(name) == F.lit(row[name]) for name in partition_by]
+            lambda a, b: a & b,
+            [F.col(name).eqNullSafe(F.lit(row[name])) for name in partition_by],
         )
         for row in listed
     ]
-    return stored.where(reduce(lambda a, b: a | b, matches, F.lit(False)))
+    while len(matches) > 1:  # in pairs, so that the condition stays shallow
+        pairs = zip(matches[::2], matches[1::2])
+        odd = matches[-1:] if len(matches) % 2 else []
+        matches = [a | b for a, b in pairs] + odd
+    return stored.where(matches[0] if matches else F.lit(False))
 
 
 def upsert(store: KeyedStore, changes: DataFrame, stage: str | None = None) -> None:
@@ -80,6 +80,7 @@ def upsert(store: KeyedStore, changes: DataFrame, stage: str | None = None) -> N
             stored = _touched(store.read(spark), changes, partition_by)
             rows = stored.unionByName(changes)
         merged = latest_by_key(rows, store.keys, store.order)
+        merged = no_empty_partition(merged, partition_by)
         clustered(merged, partition_by).write.mode("overwrite").partitionBy(
             *partition_by
         ).parquet(stage)

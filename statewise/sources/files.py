@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from statewise import schemas
 
 MONTH_COLUMN = "ingest_month"
+UNREADABLE = "unreadable"  # text of a document or line that does not parse
 
 
 def under(base: str, *parts: str) -> str:
@@ -64,13 +65,19 @@ def read_documents(
     path: str,
     schema: T.StructType = schemas.EMPLOYMENT_DOCUMENT,
     multi_line: bool = False,
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """JSON documents, one per line unless ``multi_line``.
 
     The schema is declared: an empty month keeps its columns, and the data are
-    read once, not twice.
+    read once, not twice. With ``keep_unreadable`` the column ``unreadable`` has
+    the text of each document that is not JSON, for the rejects.
     """
-    return spark.read.schema(schema).json(path, multiLine=multi_line)
+    if keep_unreadable:
+        schema = T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
+    return spark.read.schema(schema).json(
+        path, multiLine=multi_line, columnNameOfCorruptRecord=UNREADABLE
+    )
 
 
 def month_file(base: str, dataset: str, year: int, month: int) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from statewise.operators.quality import REASON, with_reason
 from statewise.sinks.upsert import KeyedStore, upsert
+from statewise.sources.files import UNREADABLE
 from statewise.workspace import discard
 
 
@@ -27,39 +28,53 @@ def ingest_available(
 ) -> None:
     """Take in every file that arrived in ``landing`` since the last call.
 
-    ``shape`` turns raw rows into rows of the store. Rows without a value in a
-    column the store requires go to ``rejects`` (by default next to the store),
-    one folder per batch. Files already taken are remembered in ``checkpoint``.
+    ``shape`` turns raw rows, and their file's ``_metadata``, into rows of the
+    store. Documents that do not parse, rows without a value in a column the
+    store requires, and rows with an empty text in a partition column go to
+    ``rejects`` (by default next to the store), one folder per batch. Files already taken are remembered in ``checkpoint``.
     A batch repeated after a failure finds its staged rows and publishes them
     again, so the result is that of one run.
     """
     required = [field.name for field in store.schema.fields if not field.nullable]
     rejects = rejects or f"{store.path}_rejects"
-    reader = spark.readStream.schema(schema).format(file_format)
+    raw_schema = T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
+    reader = spark.readStream.schema(raw_schema).format(file_format)
+    if file_format in ("json", "csv"):
+        reader = reader.option("columnNameOfCorruptRecord", UNREADABLE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    texts = [
+        name
+        for name in store.partition_by
+        if isinstance(store.schema[name].dataType, T.StringType)
+    ]
+    rules = {f"{name} is empty": ~F.col(name).eqNullSafe("") for name in texts}
 
     def stage_of(batch_id: int) -> str:
         return f"{checkpoint}/stages/{batch_id}"
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        # Raw text is parsed once; the upsert reads it several times.
-        rows, marked = f"{checkpoint}/rows", with_reason(batch, required)
-        marked.write.mode("overwrite").parquet(rows)
-        parsed = batch.sparkSession.read.schema(marked.schema).parquet(rows)
-        if required:
-            bad = parsed.where(F.col(REASON) != "")
-            bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-        good = parsed.where(F.col(REASON) == "").drop(REASON)
+        # Raw text is parsed once; everything after reads what was written.
+        parsed = f"{checkpoint}/rows"
+        batch.write.mode("overwrite").parquet(parsed)
+        raw = batch.sparkSession.read.schema(batch.schema).parquet(parsed)
+        readable = raw.where(F.col(UNREADABLE).isNull()).drop(UNREADABLE)
+        marked = with_reason(shape(readable), required, rules)
+        lost = raw.where(F.col(UNREADABLE).isNotNull())
+        lost = lost.select(UNREADABLE, F.lit("unreadable").alias(REASON))
+        bad = marked.where(F.col(REASON) != "").unionByName(lost, allowMissingColumns=True)
+        bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        good = marked.where(F.col(REASON) == "").drop(REASON)
         upsert(store, good, stage=stage_of(batch_id))
         if batch_id > 0:
             # The next batch starts only after the one before is committed.
             discard(batch.sparkSession, stage_of(batch_id - 1))
 
     query = (
-        shape(reader.load(landing))
+        reader.load(landing)
+        .select("*", "_metadata")
         .writeStream.option("checkpointLocation", f"{checkpoint}/progress")
         .trigger(availableNow=True)
         .foreachBatch(take)

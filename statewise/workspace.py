@@ -6,11 +6,16 @@ names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
+_open_scratch: list[list[str]] = []
+
 
 def work_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,10 +45,29 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
+    for folders in _open_scratch[-1:]:
+        folders.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is settled inside the block when it ends.
+
+    Nothing that reads a settled table may leave the block; write the result
+    first.
+    """
+    folders: list[str] = []
+    _open_scratch.append(folders)
+    try:
+        yield
+    finally:
+        _open_scratch.remove(folders)
+        for path in folders:
+            discard(spark, path)
+
+
 def _located(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location, location.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime
 import json
+import os
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from statewise import schemas
-from statewise.operators.quality import REASON, QualityError, require
+from statewise.operators.quality import REASON, QualityError, measure, null_checks, require
 from statewise.plans.employment import clean_employment, wanted_series
 from statewise.plans.indicator import (
     Indicator,
@@ -63,10 +64,11 @@ def test_places(spark, tmp_path, raw_places):
     require(loaded.report)
     report = {r.check_name: r.actual for r in loaded.report.collect()}
     assert report["rejected rows"] == 2 and report["repeated keys"] == 0
+    found = {(r.relation, r.check_name): r.actual for r in loaded.report.collect()}
+    assert found["dim_cities input", "city is null"] == 1 and found["dim_cities", "city is null"] == 0
     # Loading again gives the same table.
-    assert rows(load(cities_indicator(), raw_places, str(tmp_path / "warehouse")).rows) == rows(
-        loaded.rows
-    )
+    first = rows(loaded.rows)
+    assert rows(load(cities_indicator(), raw_places, str(tmp_path / "warehouse")).rows) == first
 
 
 def test_places_plan_filters_in_the_scan(raw_places, plan_of):
@@ -110,6 +112,7 @@ def test_employment(spark, tmp_path, pretty, plan_of):
         ("Ohio", 2019, 12, 12500),
         ("Ohio", 2019, 2, None),
     ]
+    assert rows(loaded.rows) == rows(stored.select(*loaded.rows.columns))
     assert rows(loaded.rejects.select("month", REASON)) == [(1, "state is null")]
     require(loaded.report)  # a missing figure is only a warning
     literal = clean_employment(documents, whole_thousands=True)
@@ -149,15 +152,49 @@ def test_weather(spark, tmp_path, cities, raw_weather):
     stored = spark.read.parquet(str(tmp_path / "warehouse" / "fact_weather"))
     assert rows(stored.select("avg_temp", "avg_temp_uncertainty", "city", "state", "date")) == [
         (1.0, 1.0, "Alpha", "Ohio", datetime.date(1900, 1, 1)),
+        (2.0, 1.0, "Far", "Texas", datetime.date(1900, 1, 1)),
         (3.123, 0.5, "Alpha", "Texas", datetime.date(1900, 1, 1)),
         (4.5, None, "Alpha", "Texas", datetime.date(1900, 3, 1)),
     ]
     assert rows(loaded.rejects.select("city", REASON)) == [
         ("Echo", "date is null"),
-        ("Far", "state is null"),
         ("Lost", "state is null"),
     ]
-    require(loaded.report)
+    near = load(weather_indicator(cities, farthest_km=100.0), raw_weather, str(tmp_path / "near"))
+    rejects = near.rejects.select("city", "latitude", "longitude", F.col("km") > 4000, REASON)
+    assert rows(rejects) == [
+        ("Echo", 40.1, -83.0, False, "date is null"),
+        ("Far", 60.0, -150.0, True, "state is null"),
+        ("Lost", None, -150.0, None, "state is null"),
+    ]
+
+
+def test_load_leaves_no_scratch_and_can_fail(spark, tmp_path):
+    before = set(os.listdir(work_root(spark)))
+    twice = Indicator(
+        table="fact",
+        transform=lambda raw: settle(raw, "raw"),
+        keys=["k"],
+        required=["k"],
+        order=["v"],
+    )
+    raw = spark.createDataFrame([(1, 1), (1, 2), (None, 3)], "k int, v int")
+    loaded = load(twice, raw, str(tmp_path))
+    assert set(os.listdir(work_root(spark))) == before
+    assert rows(loaded.rows) == [(1, 2)] and rows(loaded.rejects.select("v")) == [(3,)]
+    with pytest.raises(QualityError, match="k is null"):
+        require(measure(loaded.rejects, null_checks(["k"]), "fact"))
+
+
+def test_unreadable_documents_become_rejects(spark, tmp_path):
+    (tmp_path / "d.json").write_text(json.dumps(DOCUMENT) + '\n{"Results": {\n')
+    documents = read_documents(spark, str(tmp_path / "d.json"), keep_unreadable=True)
+    loaded = load(employment_indicator(), documents, str(tmp_path / "warehouse"))
+    assert loaded.rows.count() == 3
+    assert rows(loaded.rejects.select("unreadable", REASON)) == [
+        ('{"Results": {', "state is null, year is null, month is null"),
+        (None, "state is null"),
+    ]
 
 
 def test_weather_transform_needs_no_python(raw_weather, plan_of):
@@ -177,8 +214,8 @@ def test_stored_states_are_not_looked_up_again(spark, cities, raw_weather):
 
 def test_distance_limit(spark, cities):
     spots = spark.createDataFrame([(60.0, -150.0)], "latitude double, longitude double")
-    assert state_of_coordinates(spots, cities).first().state is None
-    assert state_of_coordinates(spots, cities, farthest_km=9000).first().state == "Texas"
+    assert state_of_coordinates(spots, cities).first().state == "Texas"
+    assert state_of_coordinates(spots, cities, farthest_km=100).first().state is None
 
 
 def test_a_new_source_is_one_declaration(spark, tmp_path):

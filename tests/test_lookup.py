@@ -11,33 +11,62 @@ from statewise.operators import nearest as nearest_module
 from statewise.operators.lookup import (
     build_lookup,
     enrich_by_key,
+    extend_lookup,
     has_at_most,
+    join_dimension,
     join_lookup,
     only_new_keys,
 )
 from statewise.operators.nearest import nearest_place
+from statewise.plans.star import facts_by_dimension
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_broadcast_join(spark, how):
+def test_shuffled_join_equals_broadcast_join(spark, how):
     # A third of the rows has one key; some keys are unknown, some NULL.
     facts = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7.5).when(F.col("id") % 100 != 1, F.col("id") % 50 + 0.0).alias("k"),
-        "id",
+        F.create_map(F.lit("id"), F.col("id") % 5).alias("m"),
     )
     lookup = spark.range(40).select((F.col("id") + 0.0).alias("k"), F.col("id").alias("v"))
     lookup = lookup.union(spark.createDataFrame([(7.5, 99)], "k double, v bigint"))
-    small = join_lookup(facts, lookup, ["k"], how)
-    large = join_lookup(facts, lookup, ["k"], how, broadcast_rows=3, salts=4)
+    small = join_dimension(facts, lookup, ["k"], how)
+    large = join_dimension(facts, lookup.hint("merge"), ["k"], how, rows=3)
     assert large.columns == small.columns
     assert rows(large) == rows(small)
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    facts = spark.range(10_000).select(F.lit("hot").alias("k"), "id")
-    spread = facts.select(F.pmod(F.xxhash64("k", "id"), F.lit(16)).alias("salt"))
-    counts = [r["count"] for r in spread.groupBy("salt").count().collect()]
-    assert len(counts) == 16 and max(counts) < 1000
+def test_a_hot_key_is_split_over_tasks(spark):
+    """A third of the rows on one key and a lookup that is not broadcast."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        facts = spark.range(0, 60_000, 1, 6).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("x")
+        )
+        lookup = spark.range(60_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        joined = join_lookup(facts, lookup, ["k"])
+        assert joined.count() == 60_000
+        assert joined.where("v <> 2 * k").count() == 0
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
+def test_a_dimension_comes_to_the_facts(spark, plan_of):
+    facts = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
+    dimension = spark.range(10).select(F.col("id").alias("k"), (F.col("id") % 2).alias("kind"))
+    totals = facts_by_dimension(facts, dimension, ["k"], ["kind"], {"n": F.count("*")})
+    assert rows(totals) == [(0, 500), (1, 500)]
+    assert "BroadcastHashJoin" in plan_of(totals) and "hashpartitioning(k#" not in plan_of(totals)
 
 
 def test_size_check(spark):
@@ -77,6 +106,14 @@ def test_stored_answers_are_kept(spark):
     assert rows(lookup) == [(1, "old"), (2, "new"), (3, "new"), (9, "old")]
 
 
+def test_a_lasting_lookup_asks_for_new_keys_only(spark, tmp_path):
+    path = str(tmp_path / "lookup")
+    for keys, answer in (([1, 2, None], "first"), ([2, 3], "second")):
+        facts = spark.createDataFrame([(k,) for k in keys], "k int")
+        lookup = extend_lookup(path, facts, ["k"], lambda new, a=answer: new.withColumn("v", F.lit(a)))
+    assert rows(lookup) == [(1, "first"), (2, "first"), (3, "second")]
+
+
 def brute_force(points, places):
     """All pairs, on a small fixture."""
     right = places.select(

@@ -37,15 +37,19 @@ def test_rows_below(spark):
     assert counted == {v: sum(other < v for other in known) for v in set(known)}
 
 
-def test_distributed_ranks_equal_the_window(spark):
+def test_ranks_equal_the_window(spark):
     frame = skewed(spark)
-    small = percent_ranks(frame, ["a", "b"])
-    large = percent_ranks(frame, ["a", "b"], one_task_rows=10)
-    by_id = {r.id: r for r in small.collect()}
+    expected = frame
+    for value in ("a", "b"):
+        present = W.partitionBy(F.col(value).isNull()).orderBy(value)
+        rank = F.when(F.col(value).isNotNull(), F.percent_rank().over(present))
+        expected = expected.withColumn(f"{value}_rank", rank)
+    by_id = {r.id: r for r in expected.collect()}
+    ranked = percent_ranks(frame, ["a", "b"])
     assert all(
-        (r.a_rank, r.b_rank) == (by_id[r.id].a_rank, by_id[r.id].b_rank) for r in large.collect()
+        (r.a_rank, r.b_rank) == (by_id[r.id].a_rank, by_id[r.id].b_rank) for r in ranked.collect()
     )
-    assert large.count() == 3000
+    assert ranked.count() == 3000
 
 
 def test_latest_equals_the_window(spark):

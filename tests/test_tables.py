@@ -48,11 +48,26 @@ def test_load_refuses_missing_values(spark, tmp_path, warehouse):
     (tmp_path / "w.csv").write_text(
         "avg_temp,avg_temp_uncertainty,city,date,state\n1.5,,Alpha,someday,Ohio\n"
     )
+    with pytest.raises(QualityError, match="date unfit: 1"):
+        load_file(spark, "fact_weather", str(tmp_path / "w.csv"))
+    (tmp_path / "w.csv").write_text(
+        "avg_temp,avg_temp_uncertainty,city,date,state\n1.5,,Alpha,,Ohio\n"
+    )
     with pytest.raises(QualityError, match="date: 1"):
         load_file(spark, "fact_weather", str(tmp_path / "w.csv"))
     assert spark.table("fact_weather").count() == 0
 
 
+def test_load_refuses_what_does_not_fit(spark, tmp_path, warehouse):
+    header = "avg_temp,avg_temp_uncertainty,city,date,state\n"
+    (tmp_path / "w.csv").write_text(
+        header + "1.5,abc,Alpha,1900-01-01,Ohio\n1.5,,Beta,1900-01-01,Ohio,2,3\n1.5,,Beta\n"
+    )
+    with pytest.raises(QualityError, match="number of fields: 2, avg_temp_uncertainty unfit: 1"):
+        load_file(spark, "fact_weather", str(tmp_path / "w.csv"))
+    assert spark.table("fact_weather").count() == 0
+
+
 def test_numbers_go_on_over_loads(spark, tmp_path, warehouse):
     header = ",".join(schemas.LOAD_ORDER["dim_cities"])
     for i, cities in enumerate((["B", "A"], ["C"])):

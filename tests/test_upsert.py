@@ -32,9 +32,7 @@ SECOND = [(1, 1, 2, "a2"), (1, 3, 1, "d"), (3, 1, 1, "e"), (1, 2, 0, "older")]
 MERGED = [(1, 1, 2, "a2"), (1, 2, 1, "b"), (1, 3, 1, "d"), (2, 1, 1, "c"), (3, 1, 1, "e")]
 
 
-@pytest.mark.parametrize("listed", [200, 0])
-def test_latest_wins_in_any_order_and_twice(spark, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr(upsert_module, "LISTED_PARTITIONS", listed)
+def test_latest_wins_in_any_order_and_twice(spark, tmp_path):
     frames = [spark.createDataFrame(data, ROW) for data in (FIRST, SECOND)]
     for i, order in enumerate(itertools.permutations(frames)):
         store = store_at(tmp_path / str(i))
@@ -49,7 +47,31 @@ def test_only_touched_partitions_are_read(spark, tmp_path, plan_of):
     changes = spark.createDataFrame([(2, 1, 9, "x")], ROW)
     touched = upsert_module._touched(store.read(spark), changes, ["p"])
     assert rows(touched) == [(2, 1, 1, "c")]
-    assert "PartitionFilters: [isnotnull(p" in plan_of(touched)
+    assert "PartitionFilters: [(p" in plan_of(touched)
+
+
+def test_rows_of_the_null_partition_stay(spark, tmp_path):
+    store = store_at(tmp_path / "s")
+    upsert(store, spark.createDataFrame([(None, 1, 1, "a"), (1, 1, 1, "b")], ROW))
+    upsert(store, spark.createDataFrame([(None, 3, 1, "c")], ROW))
+    assert rows(store.read(spark)) == [(1, 1, 1, "b"), (None, 1, 1, "a"), (None, 3, 1, "c")]
+
+
+def test_many_partitions_are_touched(spark, tmp_path):
+    store = store_at(tmp_path / "s")
+    many = spark.range(300).select(F.col("id").cast("int").alias("p"), F.lit(1).alias("k"), F.lit(1).alias("at"), F.lit("a").alias("v"))
+    upsert(store, many)
+    upsert(store, many.withColumns({"k": F.lit(2)}))
+    assert store.read(spark).count() == 600
+
+
+def test_an_empty_partition_text_is_refused(spark, tmp_path):
+    text = T.StructType().add("p", "string").add("k", "integer").add("v", "string")
+    store = KeyedStore(str(tmp_path / "s"), text, ["p", "k"], ["v"], ["p"])
+    upsert(store, spark.createDataFrame([("x", 1, "a")], text))
+    with pytest.raises(Exception, match="empty text in partition column p"):
+        upsert(store, spark.createDataFrame([("", 1, "b")], text))
+    assert rows(store.read(spark)) == [("x", 1, "a")]
 
 
 def test_repeated_attempt_after_a_crash_loses_nothing(spark, tmp_path, monkeypatch):
@@ -123,6 +145,25 @@ def test_employment_ingest(spark, tmp_path):
     assert run() == stored
     rejects = spark.read.parquet(str(tmp_path / "store_rejects"))
     assert rows(rejects.select("month", "reject_reason")) == [(1, "year is null")]
+    deliver(landing, "202002", "e.json", '{"Results": {"ser', document(Utah=[("2020", "Mxx", "1")]))
+    assert run() == stored
+    rejects = spark.read.option("mergeSchema", True).parquet(str(tmp_path / "store_rejects"))
+    assert rows(rejects.select("state", "unreadable", "reject_reason")) == [
+        ("", None, "year is null"),
+        ("Utah", None, "month is null"),
+        (None, '{"Results": {"ser', "unreadable"),
+    ]
+
+
+def test_a_broken_line_is_not_stored_as_nulls(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.json").write_text('{"p": 1, "k": 1, "at": 1, "v": "a"}\n{"p": 1, "k"\n')
+    store = store_at(tmp_path / "store")
+    ingest_available(spark, str(landing), ROW, lambda raw: raw.drop("_metadata"), store, str(tmp_path / "progress"))
+    assert rows(store.read(spark)) == [(1, 1, 1, "a")]
+    rejects = spark.read.parquet(str(tmp_path / "store_rejects"))
+    assert rows(rejects.select("unreadable", "reject_reason")) == [('{"p": 1, "k"', "unreadable")]
 
 
 def test_stream_ends_with_the_batch_table(spark, tmp_path):
