@@ -33,7 +33,8 @@ PREFIXES = (4, 5, 6)  # bytes of a word's beginning
 FOLDS = 5  # rows of fold 0 are held out
 STEPS = 400
 RATE = 0.05
-DECAY = 1e-3
+DECAY = 3e-4
+LEAST_STRENGTH = 2.5  # deviations by which a feature must be more frequent
 CACHE = 400_000  # words whose features a task remembers
 
 _RANGE = 2**32
@@ -69,6 +70,7 @@ def choose_features(positives: list, unlabelled: list, most: int = FEATURES) ->
         if count >= 3 and share > 2 * mixed:
             spread = (share + mixed + 1 / n_u) * (1 / n_p + 1 / n_u)
             strength[number] = (share - mixed) / np.sqrt(spread)
+    strength = {number: value for number, value in strength.items() if value >= LEAST_STRENGTH}
     return sorted(strength, key=lambda number: (-strength[number], number))[:most]
 
 

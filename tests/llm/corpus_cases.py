@@ -1,3 +1,5 @@
+"""Fixtures of the corpus tests."""
+
 from __future__ import annotations
 
 import random

@@ -5,6 +5,7 @@ import re
 
 import pytest
 from conftest import rows
+from corpus_cases import documents, prose  # noqa: F401
 
 from statewise.llm import decontaminate as module
 from statewise.llm.decontaminate import contamination, decontaminate

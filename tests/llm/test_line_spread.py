@@ -4,6 +4,7 @@ import collections
 
 import pytest
 from conftest import rows
+from corpus_cases import documents, prose  # noqa: F401
 
 from statewise.llm import line_spread
 from statewise.llm.line_spread import remove_shared_lines

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from corpus_cases import documents, prose  # noqa: F401
+
 from statewise.llm.mixing import mix, mix_schedule, source_targets
 
 

@@ -5,6 +5,7 @@ import random
 
 import pytest
 from conftest import rows
+from corpus_cases import documents, prose  # noqa: F401
 
 from statewise.llm import ngram_join as module
 from statewise.llm.components import components

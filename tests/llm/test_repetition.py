@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 from conftest import rows
+from corpus_cases import documents, prose  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -6,6 +6,8 @@ import random
 import numpy as np
 import pytest
 
+from corpus_cases import documents, prose  # noqa: F401
+
 from statewise.llm import suffixes
 from statewise.llm.suffixes import hash_runs, merged, remove_repeats, sliding_min
 

@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpus_cases import documents, prose  # noqa: F401
+
 from statewise.llm.toxicity import choose_features, design, score_toxicity, text_features, train
 
 
@@ -62,7 +64,7 @@ def test_negative_risk_is_corrected():
 
 def test_features():
     assert text_features(b"") == [] and text_features(b"Word word") == text_features(b"word")
-    rows = [[1, 2], [1, 3], [1]], [[2], [3], [4], [4]]
+    rows = [[1, 2], [1, 3], [1]] * 5, [[2], [3], [4], [4]] * 5
     assert choose_features(*rows) == [1]
     assert design([[1, 9], [2]], [1, 2]).tolist() == [[1, 0, 1], [0, 1, 1]]
 
