@@ -60,6 +60,7 @@ ARTICLE = frozenset({"article", "main"})
 
 _SPACE = re.compile(r"\s+")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_UNENDED = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")  # a tag that the page's end cuts off
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -233,7 +234,7 @@ def clusters(blocks: list[Block]) -> np.ndarray:
 def main_text(html: str) -> str:
     """The article's blocks, one per line; '' where a page has none."""
     parser = PageParser()
-    parser.feed(html)
+    parser.feed(_UNENDED.sub("", html))
     parser.close()
     blocks = parser.blocks
     if all(block.furniture for block in blocks):
