@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ LENGTH = 100
 GRAM = 24
 PIECE = 500_000  # bytes hashed at a time; longer texts are cut with an overlap
 ROUND = 20_000  # stretches compared at a time in the second round
+CROWDED = 100_000  # stretches of one gram that are taken apart into strings
 _PLACES = np.uint64(20)  # bits of a place inside a piece
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -206,33 +208,49 @@ def compare_neighbours(suffixes: DataFrame) -> DataFrame:
 
 
 def _stretches(docs: DataFrame, several: DataFrame) -> DataFrame:
-    """``gram, doc, span, bytes`` of stretches, cut out of the texts."""
+    """``gram, doc, span, alone, bytes`` of stretches, cut out of the texts.
+
+    Under a gram with very many kinds of stretches, each string is a row of its
+    own, ``alone`` is true and ``gram`` is a hash of the string: the strings of
+    a common gram then spread over all tasks.
+    """
+    crowded = several.groupBy("gram").count().where(F.col("count") > CROWDED)
+    several = several.join(crowded.select("gram", F.lit(True).alias("alone")), "gram", "left")
     mark = F.col("span").bitwiseAND(2**18 - 1).cast("int").alias("_mark")
+    one = F.struct("gram", "span", F.coalesce("alone", F.lit(False)).alias("alone"))
     lists = (
-        several.select(F.col("doc").alias("_doc"), mark, F.struct("gram", "span").alias("one"))
+        several.select(F.col("doc").alias("_doc"), mark, one.alias("one"))
         .groupBy("_doc", "_mark")
         .agg(F.collect_list("one").alias("wanted"))
     )
     same = (F.col("doc") == F.col("_doc")) & (F.col("mark") == F.col("_mark"))
     rows = docs.join(lists, same).select(
-        "doc", "text", F.col("wanted.gram").alias("grams"), F.col("wanted.span").alias("spans")
+        "doc", "text", *[F.col(f"wanted.{name}").alias(name) for name in ("gram", "span", "alone")]
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_, grams, spans, parts = [], [], [], []
-            for doc, text, row_grams, row_spans in zip(*(column.to_pylist() for column in batch.columns)):
-                start, _, n, _ = _unpack(np.array(row_spans, dtype=np.int64))
-                parts += [text[s : s + k + LENGTH - 1] for s, k in zip(start.tolist(), n.tolist())]
-                docs_ += [doc] * len(row_spans)
-                grams += row_grams
-                spans += row_spans
+            out = []
+            for doc, text, *wanted in zip(*(column.to_pylist() for column in batch.columns)):
+                for gram, span, alone in zip(*wanted):
+                    start, mark, n, place = (int(x) for x in _unpack(np.int64(span)))
+                    part = text[start : start + n + LENGTH - 1]
+                    if not alone:
+                        out.append((gram, doc, span, False, part))
+                        continue
+                    for step in range(n):
+                        string = part[step : step + LENGTH]
+                        key = b"%d %d " % (gram, place - step) + string
+                        number = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big", signed=True)
+                        out.append((number, doc, _pack(start + step, mark, 1, 0), True, None))
+            columns = list(zip(*out)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams, pa.int64()), pa.array(docs_, pa.int64()), pa.array(spans, pa.int64()), pa.array(parts, pa.binary())],
-                names=["gram", "doc", "span", "bytes"],
+                [pa.array(values, kind) for values, kind in zip(columns, kinds)],
+                names=["gram", "doc", "span", "alone", "bytes"],
             )
 
-    return map_batches(rows, cut, "gram long, doc long, span long, bytes binary")
+    return map_batches(rows, cut, "gram long, doc long, span long, alone boolean, bytes binary")
 
 
 def repeated_strings(gram, doc, span, parts: list[bytes]) -> Iterator[tuple[int, int, int]]:
@@ -264,11 +282,17 @@ def repeated_strings(gram, doc, span, parts: list[bytes]) -> Iterator[tuple[int,
 
 def compare_strings(stretches: DataFrame) -> DataFrame:
     """``doc, mark, from, below``: runs of bytes that repeat an earlier string."""
-    ordered = stretches.repartition("gram").sortWithinPartitions("gram", "doc", "span")
+    order = ["alone", "gram", "doc", "span"]
+    ordered = stretches.repartition("alone", "gram").sortWithinPartitions(*order).select(
+        "gram", "doc", "span", "alone", "bytes"
+    )
 
     def found(rows: list[tuple]) -> pa.RecordBatch:
         gram, doc, span = (np.array([row[at] for row in rows], dtype=np.int64) for at in range(3))
-        runs = list(repeated_strings(gram, doc, span, [row[3] for row in rows]))
+        runs = list(repeated_strings(gram, doc, span, [row[4] for row in rows]))
+        return told(doc, span, runs)
+
+    def told(doc: np.ndarray, span: np.ndarray, runs: list[tuple]) -> pa.RecordBatch:
         at = np.array([run[0] for run in runs], dtype=np.int64)
         return pa.RecordBatch.from_arrays(
             [
@@ -282,8 +306,17 @@ def compare_strings(stretches: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        before = None  # the last string that was a row of its own
         for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
+            single = batch.filter(batch.column(3))
+            if single.num_rows:
+                gram, doc, span = (single.column(at).to_numpy() for at in range(3))
+                last = np.concatenate([[~gram[0] if before is None else before], gram[:-1]])
+                again, before = np.flatnonzero(gram == last), gram[-1]
+                start = _unpack(span)[0]
+                yield told(doc, span, [(at, start[at], start[at] + 1) for at in again])
+            grouped = batch.filter(pa.compute.invert(batch.column(3)))
+            for row in zip(*(column.to_pylist() for column in grouped.columns)):
                 if len(held) >= ROUND and held[-1][0] != row[0]:
                     yield found(held)
                     held = []

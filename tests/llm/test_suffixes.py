@@ -54,8 +54,11 @@ def case(prose):
     return data
 
 
-@pytest.mark.parametrize("piece, rows_at_once", [(500_000, 20_000), (150, 1)])
-def test_equals_the_plain_search(documents, case, monkeypatch, piece, rows_at_once):
+@pytest.mark.parametrize(
+    "piece, rows_at_once, crowded", [(500_000, 20_000, 100_000), (150, 1, 100_000), (500_000, 20_000, 4)]
+)
+def test_equals_the_plain_search(documents, case, monkeypatch, piece, rows_at_once, crowded):
+    monkeypatch.setattr(suffixes, "CROWDED", crowded)
     monkeypatch.setattr(suffixes, "PIECE", piece)
     monkeypatch.setattr(suffixes, "ROUND", rows_at_once)
     frame = documents([(i, t, "a") for i, t in case]).repartition(5)
