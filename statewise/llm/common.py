@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -20,12 +22,24 @@ _CONTINUES = bytes(range(0x80, 0xC0))
 def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with batches of bounded bytes, however long the texts are."""
     conf = df.sparkSession.conf
+    _find_package(df.sparkSession.sparkContext)
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(conf.get(name).rstrip("b")) > BATCH_BYTES:
         conf.set(name, str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
 
 
+def _find_package(context) -> None:
+    """Let workers look for this package where the driver has it.
+
+    On a cluster it is installed or shipped as usual, and the path does nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [path for path in context.environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def as_bytes(name: str = "text") -> Column:
     """Text as UTF-8 bytes, NULL as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
@@ -80,11 +94,6 @@ def covered(starts: np.ndarray, n: int, size: int) -> np.ndarray:
     return inside
 
 
-def own_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """Only the columns an operator reads, so that no other name can clash."""
-    return df.select(*wanted)
-
-
 def running_total(
     df: DataFrame, order: Sequence, size: Column, name: str, group: str | None = None
 ) -> DataFrame:
