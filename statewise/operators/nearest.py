@@ -182,10 +182,12 @@ def nearest_place(
         ),
         "places",
     )
-    # Level 0 cannot tell places apart: all are on the list of its eight cells.
+    # Level 0 cannot tell places apart: all are on the list of each of its eight
+    # cells that holds a point.
+    occupied = points.select(_row(0).alias("row"), _col(0).alias("col")).distinct().collect()
     roots = F.array(
-        *[F.struct(F.lit(row), F.lit(col)) for row in range(2) for col in range(4)]
-    )
+        *[F.struct(F.lit(cell["row"]), F.lit(cell["col"])) for cell in occupied]
+    ).cast("array<struct<row:int,col:int>>")
     open_lists = places.select(
         F.inline(roots).alias("parent_row", "parent_col"), *places.columns
     )
@@ -211,7 +213,8 @@ def nearest_place(
         if crowded.isEmpty():
             break
         in_crowded = (_row(level) == F.col("cell_row")) & (_col(level) == F.col("cell_col"))
-        open_points = points.join(crowded, in_crowded, "left_semi")
+        # Written: the next level and its comparison read only what is left.
+        open_points = settle(open_points.join(crowded, in_crowded, "left_semi"), "points")
         open_lists = lists.join(crowded, ["cell_row", "cell_col"], "left_semi").select(
             F.col("cell_row").alias("parent_row"),
             F.col("cell_col").alias("parent_col"),
