@@ -9,8 +9,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +67,17 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             discard(spark, path)
 
 
+def settle_result(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Settle what ``make`` gives, and delete what it settled on the way."""
+    path = new_folder(spark, label)
+    with scratch(spark):
+        made = make()
+        made.write.parquet(path)
+    for folders in _open_scratch[-1:]:
+        folders.append(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def _located(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location, location.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -25,7 +25,7 @@ from statewise.plans.places import clean_places
 from statewise.plans.star import one_place_per_name, place_profiles, rank_places
 from statewise.plans.weather import clean_weather, state_of_coordinates, weather_with_state
 from statewise.sources.files import read_documents, read_header_csv
-from statewise.workspace import settle, work_root
+from statewise.workspace import scratch, settle, settle_result, work_root
 
 PLACES = """\
 id,city_ascii,state_name,state_id,lat,lng,population,density
@@ -186,6 +186,15 @@ def test_load_leaves_no_scratch_and_can_fail(spark, tmp_path):
         require(measure(loaded.rejects, null_checks(["k"]), "fact"))
 
 
+def test_only_the_result_stays(spark):
+    before = set(os.listdir(work_root(spark)))
+    with scratch(spark):
+        kept = settle_result(spark, lambda: settle(spark.range(3), "step").where("id > 0"), "kept")
+        assert rows(kept) == [(1,), (2,)]
+        assert len(set(os.listdir(work_root(spark))) - before) == 1
+    assert set(os.listdir(work_root(spark))) == before
+
+
 def test_unreadable_documents_become_rejects(spark, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps(DOCUMENT) + '\n{"Results": {\n')
     documents = read_documents(spark, str(tmp_path / "d.json"), keep_unreadable=True)
