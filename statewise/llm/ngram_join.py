@@ -73,16 +73,19 @@ def minhash(grams: np.ndarray) -> np.ndarray:
     return least.astype(np.uint32)
 
 
-def _child_paths(path: int, tokens: np.ndarray) -> list[int]:
-    """Paths of a node's children: sampled tokens added to the path."""
-    seeds = mix(np.array([path], dtype=np.uint64) + np.arange(CHILDREN, dtype=np.uint64), 3)
-    places = (seeds % np.uint64(TOKENS)).astype(np.int64)
-    if len(set(places.tolist())) < CHILDREN:  # sample without repeats
-        places = (places[0] + np.arange(CHILDREN) * (1 + int(seeds[-1] >> np.uint64(40)) % (TOKENS - 1))) % TOKENS
-    values = tokens[places].astype(np.uint64)
+def _child_paths(paths: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Paths of the children of every row's bucket: sampled tokens added to the path.
+
+    ``paths`` has a row per node, ``tokens`` its minhash; the result a column per
+    child. Which tokens are sampled depends on the path alone.
+    """
     with np.errstate(over="ignore"):
-        mixed = mix(values * np.uint64(TOKENS) + places.astype(np.uint64), 5) ^ mix(seeds, 9)
-    return mix(mixed).astype(np.int64).tolist()
+        seed = mix(paths, 3)
+        step = (seed >> np.uint64(40)) * np.uint64(2) + np.uint64(1)  # odd: no token twice
+        child = np.arange(CHILDREN, dtype=np.uint64)
+        places = (seed[:, None] + child * step[:, None]) % np.uint64(TOKENS)
+        values = tokens[np.arange(len(paths))[:, None], places.astype(np.int64)].astype(np.uint64)
+        return mix(mix(values * np.uint64(TOKENS) + places, 5) ^ seed[:, None])
 
 
 def set_features(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -127,14 +130,12 @@ def _paths(frontier: DataFrame) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths, sizes, nodes = [], [], []
-            for path, size, node, tokens in zip(*(column.to_pylist() for column in batch.columns)):
-                children = _child_paths(path % 2**64, np.frombuffer(tokens, dtype=np.uint32))
-                paths += children
-                sizes += [size] * len(children)
-                nodes += [node] * len(children)
+            paths = batch.column(0).to_numpy().view(np.uint64)
+            tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint32)
+            children = _child_paths(paths, tokens.reshape(len(paths), TOKENS)).view(np.int64)
+            parents = pa.array(np.repeat(np.arange(len(paths)), CHILDREN))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(paths, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())],
+                [pa.array(children.ravel()), batch.column(1).take(parents), batch.column(2).take(parents)],
                 names=["path", "parent_size", "node"],
             )
 
