@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from statewise.llm.common import as_bytes, ascii_words, map_batches, mix, rolling
 from statewise.llm.components import components
-from statewise.workspace import settle
+from statewise.workspace import settle, settle_result
 
 WORDS = 5
 SIMILAR = 0.8
@@ -383,7 +383,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, runs: int = RUNS) -> Da
     n-gram. NULL and empty texts are linked to nothing and are classes of their
     own. Repeated rows link to each other. Other columns are not read.
     """
-    rows = settle(_classed(docs.select("doc_id", "text"), words, runs), "classed")
+    texts = docs.select("doc_id", "text")
+    rows = settle_result(docs.sparkSession, lambda: _classed(texts, words, runs), "classed")
     least = rows.groupBy("least_node").agg(F.min("doc_id").alias("_class"))
     return rows.join(least, "least_node", "left").select(
         "doc_id",
@@ -399,7 +400,8 @@ def keep_one_of_each(docs: DataFrame, words: int = WORDS, runs: int = RUNS) -> D
     hash). Texts without words all stay, but rows with the same id and text
     count as one.
     """
-    rows = settle(_classed(docs.select("doc_id", "text"), words, runs), "classed")
+    texts = docs.select("doc_id", "text")
+    rows = settle_result(docs.sparkSession, lambda: _classed(texts, words, runs), "classed")
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "key")).alias("first")
     chosen = (
         rows.where(F.col("node").isNotNull()).groupBy("least_node").agg(first).select("first.key")
