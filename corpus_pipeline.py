@@ -9,7 +9,7 @@ from statewise.llm.line_spread import remove_shared_lines
 from statewise.llm.mixing import mix
 from statewise.llm.ngram_join import keep_one_of_each
 from statewise.llm.repetition import keep_by_repetition
-from statewise.workspace import settle
+from statewise.workspace import settle_result
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        docs = settle_result(spark, lambda: stage(spark, docs, sf_dir), name)  # noqa: B023
     return STAGES[-1][1](spark, docs, sf_dir)
