@@ -43,6 +43,7 @@ CLOSED_BY = {
     "p": frozenset(), "li": frozenset({"ul", "ol", "menu"}), "dt": frozenset({"dl"}), "dd": frozenset({"dl"}),
     "td": frozenset({"table"}), "th": frozenset({"table"}), "tr": frozenset({"table"}), "option": frozenset({"select"}),
 }
+ALIKE = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
     "toolbar".split()
@@ -79,6 +80,7 @@ class _Open:
     name: str
     number: int
     furniture: bool
+    cut: bool = False  # in an inline part that is taken out of its line
 
 
 @dataclass
@@ -123,14 +125,18 @@ class PageParser(HTMLParser):
         self._line = _Line()
 
     def handle_starttag(self, name, attrs):
-        if name in BLOCKS:
-            self._end_line(name)
-            self._close_implied(name)
-        elif name == "br":
-            self._line.pieces.append(" ")
-        if name == "a":
-            self._links += 1
-        self._line.tags += 1
+        if name in BLOCKS or name in ("a", "button"):
+            self._close_inline(name)
+        cut = self._cut()
+        if not cut:
+            if name in BLOCKS:
+                self._end_line(name)
+                self._close_implied(name)
+            elif name == "br":
+                self._line.pieces.append(" ")
+            if name == "a":
+                self._links += 1
+            self._line.tags += 1
         if name in VOID:
             return
         given = dict(attrs)
@@ -139,10 +145,12 @@ class PageParser(HTMLParser):
         furniture = _is_furniture(name, given, in_article)
         if inside and name in ARTICLE and not furniture and self._wraps_page():
             inside = False  # a form or an unclosed menu around the whole page
-        if name in BLOCKS or furniture:
+        # inside a removed part, elements of its name are told apart from its own end
+        if name in BLOCKS or furniture or (cut and any(item.name == name for item in self._open)):
             self._count += 1
             self.names[self._count] = name
-            self._open.append(_Open(name, self._count, inside or furniture))
+            inline = furniture and name not in BLOCKS
+            self._open.append(_Open(name, self._count, inside or furniture, cut or inline))
 
     def handle_startendtag(self, name, attrs):
         if name in VOID:
@@ -152,21 +160,25 @@ class PageParser(HTMLParser):
             self.handle_endtag(name)
 
     def handle_endtag(self, name):
-        if name == "a":
-            self._links = max(0, self._links - 1)
-        self._line.tags += 1
+        cut = self._cut()
+        if not cut:
+            if name == "a":
+                self._links = max(0, self._links - 1)
+            self._line.tags += 1
         if name == "p" and not any(item.name == "p" for item in self._open):
-            self._end_line(name)
+            if not cut:
+                self._end_line(name)
             return
         for at in range(len(self._open) - 1, -1, -1):
             if self._open[at].name == name:
-                self._end_line(name)
-                del self._open[at:]
+                self._close_from(at)
                 return
             if self._open[at].name in ("td", "th", "table") and name not in ("table", "tr", "body", "html"):
                 return  # a stray end tag does not leave its cell
 
     def handle_data(self, data):
+        if self._cut():
+            return
         self._line.pieces.append(data)
         if self._links:
             self._line.linked += len(data.strip())
@@ -175,6 +187,35 @@ class PageParser(HTMLParser):
         super().close()
         self._end_line("")
 
+    def _cut(self) -> bool:
+        """Inside an element that is taken out of its line."""
+        return bool(self._open) and self._open[-1].cut
+
+    def _close_from(self, at: int) -> None:
+        """Close the open elements from ``at`` on; an inline part that is taken out ends no line."""
+        if not self._open[at].cut:
+            name = self._open[at].name
+            if self._cut():  # the line goes by the block around the part
+                del self._open[next(i for i, item in enumerate(self._open) if item.cut) :]
+            self._end_line(name)
+        del self._open[at:]
+
+    def _close_inline(self, name: str) -> None:
+        """End tags that a page leaves out inside a removed inline part: a block ends
+        the paragraph around a marked span, a link or button the one before."""
+        if not self._cut():
+            return
+        for at in range(len(self._open) - 1, -1, -1):
+            found = self._open[at].name
+            if found in ALIKE.get(name, (name,)) and (name in ("a", "button") or name in CLOSED_BY):
+                self._close_from(at)
+                return
+            if found == "p" and name in BLOCKS:
+                self._close_from(at)
+                return
+            if found in BLOCKS or found in FURNITURE:
+                return
+
     def _wraps_page(self) -> bool:
         outer = [item.name for item in self._open if item.furniture]
         return all(name in ("form", "nav", "header", "menu") for name in outer) and not any(
@@ -189,8 +230,7 @@ class PageParser(HTMLParser):
             for at in range(len(self._open) - 1, -1, -1):
                 if self._open[at].name in CLOSED_BY[name]:
                     break
-                same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
-                if self._open[at].name in same.get(name, (name,)):
+                if self._open[at].name in ALIKE.get(name, (name,)):
                     del self._open[at:]
                     break
         if name == "body":

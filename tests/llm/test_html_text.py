@@ -51,6 +51,27 @@ def test_small_pages(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<article><p>Long text <span aria-hidden='true'>x</span> tail.</p></article>", "Long text tail."),
+        ("<h1>Title <button>Share</button></h1>", "Title"),
+        ("<h1>Title <span aria-hidden='true'>#</span></h1>", "Title"),
+        ("<h1>A <svg><title>Icon</title><path d='x'/></svg> title</h1>", "A title"),
+        ("<p>See <svg/> the chart</p>", "See the chart"),
+        ("<p>one <script>var t = '</p>';</script>two</p>", "one two"),
+        ("<h1>one <script>f()</script>two</h1>", "one two"),
+        ("<p>one <button><div>no</div></button> two</p>", "one two"),
+        ("<p>one <span hidden>no <span>no</span> no</span> two</p>", "one two"),
+        ("<p>one <span hidden>no<p>two", "one\ntwo"),
+        ("<article><ul><li>one <i hidden>no<li>two</ul></article>", "one\ntwo"),
+        ("<article>one<nav>no <button>no</button> no</nav>two</article>", "one\ntwo"),
+    ],
+)
+def test_a_removed_inline_part_leaves_its_line_whole(html, text):
+    assert main_text(html) == text
+
+
 def test_long_page_is_whole():
     text = [f"{i} {LONG}" for i in range(3000)]
     assert main_text("<article>" + "".join(f"<p>{t}</p>" for t in text) + "</article>") == "\n".join(text)
