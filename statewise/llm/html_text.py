@@ -3,9 +3,10 @@
 Each page streams through the standard library's HTML parser, which yields one
 line per block with its characters and tags. The lines' text-to-tag ratios are
 smoothed with a Gaussian, and the lines above a threshold form the clusters of
-content. The clusters choose the region: the element that holds most of their
-text. All of that region's blocks are the article, its short paragraphs too,
-but for the parts that page furniture marks as its own.
+content. The clusters choose the region: the smallest element that holds all of
+them or, where ``article`` and ``main`` elements hold most of their text, those
+elements. All of that region's blocks are the article, its short paragraphs
+too, but for the parts that page furniture marks as its own.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from statewise.llm.common import map_batches
 
 SIGMA = 1.0  # of the Gaussian, in lines
 RADIUS = 3
-MOST_OF = 0.5  # share of the clusters' text that the region must hold
+MOST_OF = 0.5  # share of the clusters' text from which article and main elements are the region
 
 # Element names of HTML, and words that mark page furniture.
 BLOCKS = frozenset(
@@ -279,32 +280,46 @@ def main_text(html: str) -> str:
     blocks = parser.blocks
     if all(block.furniture for block in blocks):
         return ""
-    chosen = clusters(blocks)
-    weight: dict[int, int] = {}
-    for block, inside in zip(blocks, chosen):
-        if inside:
-            for number in block.path:
-                weight[number] = weight.get(number, 0) + len(block.text)
-    total = sum(len(block.text) for block, inside in zip(blocks, chosen) if inside)
-    holding = [number for number, held in weight.items() if held >= MOST_OF * total]
-    region = max(holding, default=0)  # numbers rise with depth along one path
+    chosen = [block for block, inside in zip(blocks, clusters(blocks)) if inside]
+    total = sum(len(block.text) for block in chosen)
+    marked = [block for block in chosen if any(parser.names[n] in ARTICLE for n in block.path)]
+    if marked and sum(len(block.text) for block in marked) >= MOST_OF * total:
+        chosen = marked  # the page says itself where its article is
+    region = _common([block for block in chosen if not block.heading] or chosen)
     path = next((b.path for b in blocks if region in b.path), ())
     outer = [n for n in path[: path.index(region) + 1] if parser.names[n] in ARTICLE] if path else []
     if outer:
         region = outer[0] if parser.names[outer[0]] == "article" else outer[-1]
+    regions = {region}
+    if marked and chosen is marked and not outer:  # articles side by side
+        regions = {next(n for n in block.path if parser.names[n] in ARTICLE) for block in marked}
     kept = []
     for at, block in enumerate(blocks):
         if block.furniture:
             continue
-        if not region or region in block.path or (block.heading and not outer and _leads(blocks, at, region)):
+        if (
+            regions == {0}
+            or not regions.isdisjoint(block.path)
+            or (block.heading and not outer and _leads(blocks, at, regions))
+        ):
             kept.append(block.text)
     return "\n".join(kept)
 
 
-def _leads(blocks: list[Block], at: int, region: int) -> bool:
-    """A heading that stands right before the region."""
+def _common(blocks: list[Block]) -> int:
+    """The smallest region that holds all of the blocks; 0 where none does."""
+    region = 0
+    for level in zip(*(block.path for block in blocks)):
+        if len(set(level)) > 1:
+            break
+        region = level[0]
+    return region
+
+
+def _leads(blocks: list[Block], at: int, regions: set[int]) -> bool:
+    """A heading that stands right before a region."""
     after = next((b for b in blocks[at + 1 :] if not b.furniture and not b.heading), None)
-    return after is not None and region in after.path
+    return after is not None and not regions.isdisjoint(after.path)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -72,6 +72,33 @@ def test_a_removed_inline_part_leaves_its_line_whole(html, text):
     assert main_text(html) == text
 
 
+def _split_page(first, second):
+    """Texts of two parts of a page."""
+    part = {"more": LONG * 3, "equal": LONG * 2, "less": LONG}
+    return part[first], part[second]
+
+
+@pytest.mark.parametrize("sizes", [("more", "equal"), ("equal", "more"), ("equal", "equal"), ("less", "more")])
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><p>{}</p><blockquote>{}</blockquote></body>",
+        "<body><section><p>{}</p></section><section><p>{}</p></section></body>",
+        "<body><div><div><p>{}</p></div></div><div><div><p>{}</p></div></div></body>",
+        "<table><tr><td>{}</td></tr><tr><td>{}</td></tr></table>",
+        "<table><tr><td>{}</td><td>{}</td></tr></table>",
+        "<body><main><article><p>{}</p></article><article><p>{}</p></article></main></body>",
+        "<body><main><p>{}</p><article><p>{}</p></article></main></body>",
+        "<body><div>Away</div><article><p>{}</p></article><article><p>{}</p></article></body>",
+        "<body><div><article><p>{}</p></article></div><div><article><p>{}</p></article></div></body>",
+        "<p>{}</p><div>{}</div>",
+    ],
+)
+def test_all_parts_of_the_article_are_kept(page, sizes):
+    texts = _split_page(*sizes)
+    assert main_text(page.format(*texts)) == "\n".join(texts)
+
+
 def test_long_page_is_whole():
     text = [f"{i} {LONG}" for i in range(3000)]
     assert main_text("<article>" + "".join(f"<p>{t}</p>" for t in text) + "</article>") == "\n".join(text)
