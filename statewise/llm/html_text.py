@@ -58,14 +58,39 @@ MARKS = frozenset(
     "widget".split()
 )
 COMMENTS = frozenset("comment commentlist comments disqus replies reply respond responses".split())
+# Words that stand beside a mark in a name without making it the name of something else.
+BESIDE = frozenset(
+    "above amp area article articles author bar before after below block body bottom box btn button buttons card "
+    "center col column container cont desktop dfp entry float fixed footer form global google gpt group head header "
+    "holder horizontal icon icons id image inline inner item items js label large leaderboard left link links "
+    "list log main media medium message middle mobile module mpu outer page panel placeholder policy popular "
+    "post posts primary rectangle region right row save secondary section single site slot small sticky "
+    "stories story template text thread title tools top unit vertical wide wp wrap wrapper".split()
+)
+OF_ARTICLE = frozenset("article articles author body card entry post posts section story stories text title".split())
+# Marks of what is never the article, however long it is.
+APART = COMMENTS | frozenset(
+    "ad ads advert adverts advertisement advertising adsense consent cookie cookies copyright gdpr newsletter "
+    "outbrain promo promos recommended related sponsor sponsored taboola".split()
+)
+WRAPPERS = frozenset("aside footer form menu nav search".split())  # furniture that may stand around a page
 ARTICLE = frozenset({"article", "main"})
 
+_HEADER = frozenset({"header"})
+_HEADING = re.compile("h[1-6]")
 _SPACE = re.compile(r"\s+")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _UNENDED = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")  # a tag that the page's end cuts off
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+_Piece = tuple[str, tuple[int, ...], int]  # text, the furniture around it, characters inside links
+
+
+def _joined(pieces: list[_Piece]) -> str:
+    return _SPACE.sub(" ", "".join(piece[0] for piece in pieces)).strip()
+
+
 @dataclass
 class Block:
     text: str
@@ -74,6 +99,18 @@ class Block:
     path: tuple[int, ...]  # the open regions, outermost first
     furniture: bool
     heading: bool
+    pieces: list[_Piece]
+
+    def leave_out(self, freed: set[int]) -> None:
+        """Without the pieces in furniture that is not ``freed``."""
+        kept = [piece for piece in self.pieces if freed.issuperset(piece[1])]
+        if len(kept) == len(self.pieces):
+            return
+        text = _joined(kept)
+        if text:
+            self.text, self.linked = text, sum(piece[2] for piece in kept)
+        else:
+            self.furniture = True
 
 
 @dataclass
@@ -81,36 +118,65 @@ class _Open:
     name: str
     number: int
     furniture: bool
-    cut: bool = False  # in an inline part that is taken out of its line
+    hard: bool
+    soft: tuple[int, ...]  # the furniture around it that may turn out to hold the article
+    cut: bool  # in an inline part that is taken out of its line
 
 
 @dataclass
 class _Line:
-    pieces: list[str] = field(default_factory=list)
+    pieces: list[_Piece] = field(default_factory=list)
     tags: int = 0
-    linked: int = 0
 
 
-def _marks(attrs: dict[str, str | None]) -> set[str]:
-    text = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    return {token.lower() for token in _TOKEN.findall(text)}
+def _named(names: str | None, marks: frozenset[str], beside: frozenset[str] = BESIDE) -> set[str]:
+    """The marks in class names or ids that say nothing but a mark and where it stands:
+    ``post-comments``, not ``comments-open``, ``has-sidebar`` or ``related-work``."""
+    found: set[str] = set()
+    for name in (names or "").split():
+        words = {word.lower() for word in _TOKEN.findall(name) if len(word) > 1}
+        if words <= marks | beside:
+            found |= words & marks
+    return found
+
 
+HARD, APART_KIND, WRAPPER, LOOSE = "hard", "apart", "wrapper", "loose"
 
-def _is_furniture(name: str, attrs: dict[str, str | None], in_article: bool) -> bool:
+
+def _furniture(name: str, attrs: dict[str, str | None], in_article: bool) -> str | None:
+    """Kind of furniture that an element is, None for others.
+
+    ``HARD`` is never read, of the others see ``_freed``.
+    """
     if name in ("html", "body"):
-        return False
+        return None
     if "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
-        return True
+        return HARD
     if _HIDDEN.search(attrs.get("style") or ""):
-        return True
-    marks = _marks(attrs)
+        return HARD
+    classes, ids = attrs.get("class"), attrs.get("id")
     if name in ARTICLE:
-        return bool(marks & COMMENTS)
-    if name in FURNITURE or (attrs.get("role") or "").lower() in ROLES:
-        return True
-    if name == "header":
-        return not in_article
-    return bool(marks & MARKS) or (not in_article and "header" in marks)
+        return APART_KIND if _named(classes, COMMENTS) or _named(ids, COMMENTS) else None
+    if name in FURNITURE and name not in WRAPPERS:
+        return HARD
+    marks: set[str] = set()
+    if (classes or ids) and not _HEADING.fullmatch(name):
+        # ids in an article are often made of the words of a heading
+        marks = _named(classes, MARKS) | _named(ids, MARKS, frozenset() if in_article else BESIDE)
+    if marks & APART:
+        return APART_KIND
+    role = (attrs.get("role") or "").lower()
+    if name in WRAPPERS - {"form"} or role in ROLES - {"form"}:
+        return WRAPPER
+    if name == "header" and not in_article:
+        return WRAPPER
+    if name == "form" or role == "form" or marks:
+        return LOOSE
+    if not in_article and (classes or ids) and not _HEADING.fullmatch(name):
+        beside = BESIDE - OF_ARTICLE
+        if _named(classes, _HEADER, beside) or _named(ids, _HEADER, beside):
+            return LOOSE
+    return None
 
 
 class PageParser(HTMLParser):
@@ -120,6 +186,8 @@ class PageParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self.names: dict[int, str] = {}
+        self.kinds: dict[int, str] = {}  # of furniture that may turn out to hold the article
+        self.around: dict[int, set[int]] = {}  # article elements around it
         self._open: list[_Open] = []
         self._count = 0
         self._links = 0
@@ -134,7 +202,7 @@ class PageParser(HTMLParser):
                 self._end_line(name)
                 self._close_implied(name)
             elif name == "br":
-                self._line.pieces.append(" ")
+                self._add(" ")
             if name == "a":
                 self._links += 1
             self._line.tags += 1
@@ -143,15 +211,24 @@ class PageParser(HTMLParser):
         given = dict(attrs)
         inside = bool(self._open) and self._open[-1].furniture
         in_article = any(item.name in ARTICLE for item in self._open)
-        furniture = _is_furniture(name, given, in_article)
-        if inside and name in ARTICLE and not furniture and self._wraps_page():
-            inside = False  # a form or an unclosed menu around the whole page
-        # inside a removed part, elements of its name are told apart from its own end
-        if name in BLOCKS or furniture or (cut and any(item.name == name for item in self._open)):
+        kind = _furniture(name, given, in_article)
+        top = self._open[-1] if inside else None
+        if inside and name in ARTICLE and kind is None and self._wraps_page():
+            top = None  # a form or an unclosed menu around the whole page
+        # elements of an open inline part's name are told apart from its own end
+        if name in BLOCKS or kind or any(item.name == name for item in self._open):
             self._count += 1
-            self.names[self._count] = name
-            inline = furniture and name not in BLOCKS
-            self._open.append(_Open(name, self._count, inside or furniture, cut or inline))
+            number = self._count
+            self.names[number] = name
+            soft = top.soft if top else ()
+            if kind and kind != HARD:
+                self.kinds[number] = kind
+                self.around[number] = {item.number for item in self._open if item.name in ARTICLE}
+                soft += (number,)
+            hard = kind == HARD or bool(top and top.hard)
+            self._open.append(
+                _Open(name, number, hard or bool(soft), hard, soft, cut or (kind == HARD and name not in BLOCKS))
+            )
 
     def handle_startendtag(self, name, attrs):
         if name in VOID:
@@ -180,31 +257,33 @@ class PageParser(HTMLParser):
     def handle_data(self, data):
         if self._cut():
             return
-        self._line.pieces.append(data)
-        if self._links:
-            self._line.linked += len(data.strip())
+        self._add(data)
 
     def close(self):
         super().close()
         self._end_line("")
 
+    def _add(self, text: str) -> None:
+        soft = self._open[-1].soft if self._open else ()
+        self._line.pieces.append((text, soft, len(text.strip()) if self._links else 0))
+
     def _cut(self) -> bool:
         """Inside an element that is taken out of its line."""
         return bool(self._open) and self._open[-1].cut
 
     def _close_from(self, at: int) -> None:
-        """Close the open elements from ``at`` on; an inline part that is taken out ends no line."""
+        """Close the open elements from ``at`` on; an inline part ends no line."""
         if not self._open[at].cut:
-            name = self._open[at].name
             if self._cut():  # the line goes by the block around the part
                 del self._open[next(i for i, item in enumerate(self._open) if item.cut) :]
-            self._end_line(name)
+            if any(item.name in BLOCKS for item in self._open[at:]):
+                self._end_line(self._open[at].name)
         del self._open[at:]
 
     def _close_inline(self, name: str) -> None:
-        """End tags that a page leaves out inside a removed inline part: a block ends
-        the paragraph around a marked span, a link or button the one before."""
-        if not self._cut():
+        """End tags that a page leaves out inside an inline part: a block ends the
+        paragraph around a marked span, a link or button the one before."""
+        if not self._open or self._open[-1].name in BLOCKS and not self._cut():
             return
         for at in range(len(self._open) - 1, -1, -1):
             found = self._open[at].name
@@ -239,17 +318,22 @@ class PageParser(HTMLParser):
 
     def _end_line(self, name: str) -> None:
         line, self._line = self._line, _Line()
-        text = _SPACE.sub(" ", "".join(line.pieces)).strip()
+        text = _joined(line.pieces)
         if text:
-            top = self._open[-1] if self._open else None
+            top = next((item for item in reversed(self._open) if item.name in BLOCKS), None)
+            linked = sum(piece[2] for piece in line.pieces)
+            pieces = line.pieces
+            if all(piece[1] == pieces[0][1] for piece in pieces):
+                pieces = [(text, pieces[0][1], linked)]
             self.blocks.append(
                 Block(
                     text=text,
                     tags=line.tags,
-                    linked=line.linked,
+                    linked=linked,
                     path=tuple(item.number for item in self._open if item.name in REGIONS),
-                    furniture=bool(top and top.furniture),
-                    heading=bool(top and re.fullmatch("h[1-6]", top.name)),
+                    furniture=bool(top and top.hard),
+                    heading=bool(top and _HEADING.fullmatch(top.name)),
+                    pieces=pieces,
                 )
             )
         if name in BLOCKS and name != "p":
@@ -272,12 +356,54 @@ def clusters(blocks: list[Block]) -> np.ndarray:
     return (smooth >= threshold) & (ratio > 0)
 
 
+def _freed(parser: PageParser) -> set[int]:
+    """Marked elements that are no furniture, as the page has its article in them.
+
+    Such an element holds more cluster text than there is outside furniture, and
+    no ``article`` or ``main`` beside it has any. A form or a name of a class or
+    id can stand around any article; menus, asides and the like are believed to
+    hold one only where an ``article`` or ``main`` in them says so, and comments,
+    adverts and the like only where there is no other text besides.
+    """
+    pieces = [
+        (len(piece[0].strip()), piece[1], [n for n in block.path if parser.names[n] in ARTICLE])
+        for block, inside in zip(parser.blocks, clusters(parser.blocks))
+        if inside
+        for piece in block.pieces
+    ]
+    holds: dict[int, int] = {}
+    with_article: set[int] = set()
+    for size, soft, articles in pieces:
+        for n in soft:
+            holds[n] = holds.get(n, 0) + size
+            if any(a > n for a in articles) and not any(m > n and parser.kinds[m] == APART_KIND for m in soft):
+                with_article.add(n)
+    freed: set[int] = set()
+    outside, beside = None, set()
+    for number in sorted(holds):  # outer elements first
+        if outside is None:
+            free = [piece for piece in pieces if freed.issuperset(piece[1])]
+            outside = sum(size for size, _, _ in free)
+            beside = {a for _, _, articles in free for a in articles}
+        kind = parser.kinds[number]
+        if holds[number] <= outside or beside - parser.around[number] - {number}:
+            continue
+        if kind == LOOSE or number in with_article and (kind == WRAPPER or not outside):
+            freed.add(number)
+            outside = None
+    return freed
+
+
 def main_text(html: str) -> str:
     """The article's blocks, one per line; '' where a page has none."""
     parser = PageParser()
     parser.feed(_UNENDED.sub("", html))
     parser.close()
     blocks = parser.blocks
+    if parser.kinds and not all(block.furniture for block in blocks):
+        freed = _freed(parser)
+        for block in blocks:
+            block.leave_out(freed)
     if all(block.furniture for block in blocks):
         return ""
     chosen = [block for block, inside in zip(blocks, clusters(blocks)) if inside]

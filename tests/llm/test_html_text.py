@@ -72,6 +72,36 @@ def test_a_removed_inline_part_leaves_its_line_whole(html, text):
     assert main_text(html) == text
 
 
+MUCH = f"<p>{LONG}</p>" * 3
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<div class='layout has-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<div class='sidebar'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<article class='post comments-open'><p>{LONG}</p></article>", LONG),
+        (f"<form><div><div><p>{LONG}</p></div></div></form>", LONG),
+        (f"<article><h2 id='related-work'>Work</h2><p>{LONG}</p></article>", f"Work\n{LONG}"),
+        (f"<article><p>{LONG}</p><section id='social-impact'><p>Few words.</p></section></article>", f"{LONG}\nFew words."),
+        (f"<article><p>{LONG}</p><div class='elementor-widget'><p>Few words.</p></div></article>", f"{LONG}\nFew words."),
+        (f"<article><div class='widget'><p>{LONG}</p></div><p>Few words.</p></article>", f"{LONG}\nFew words."),
+        (f"<nav>Menu<div><main><p>{LONG}</p></main></div></nav>", LONG),
+        (f"<p>{LONG} <span class='share-link'>Share</span> to the end</p>", f"{LONG} to the end"),
+        # what stays away, however long it is
+        (f"<article><p>{LONG}</p></article><section class='comments'>{MUCH}</section>", LONG),
+        (f"<form><div><p>{LONG}</p></div><section class='comments'>{MUCH}</section></form>", LONG),
+        (f"<article><p>{LONG}</p><div class='related-posts'><article>{MUCH}</article></div></article>", LONG),
+        (f"<article><p>{LONG}</p></article><div class='sidebar'>{MUCH}</div>", LONG),
+        (f"<article><p>{LONG}</p><div class='post-comments'>no</div><div class='ad-300x250'>no</div></article>", LONG),
+        (f"<div class='comments'><article class='comment'>{MUCH}</article></div>", ""),
+        (f"<div hidden>{MUCH}</div><p>{LONG}</p>", LONG),
+    ],
+)
+def test_marks_are_not_believed_against_the_article(html, text):
+    assert main_text(html) == text
+
+
 def _split_page(first, second):
     """Texts of two parts of a page."""
     part = {"more": LONG * 3, "equal": LONG * 2, "less": LONG}
