@@ -122,56 +122,53 @@ def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[byt
         yield rows, offsets, parts
 
 
-def _row_key():
-    """(order of the documents, mark that tells rows of one id apart)."""
-    last = F.lit(2**63 - 1)
-    mark = F.pmod(F.xxhash64("text"), F.lit(2**18)).cast("int")
-    return F.coalesce(F.col("doc_id").cast("bigint"), last).alias("doc"), mark.alias("mark")
+def _doc():
+    """Order of the documents."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1))
 
 
 # A stretch's place packed into one long, in the order of first starts:
-# 31 bits first start in units of one byte, 18 bits mark, 7 bits each for starts and place.
-def _pack(start, mark, n, place):
-    return ((start << 14) | (n << 7) | place) * 2**18 + mark
+# first start in units of one byte, 7 bits each for starts and place.
+def _pack(start, n, place):
+    return (start << 14) | (n << 7) | place
 
 
 def _unpack(span: np.ndarray) -> tuple[np.ndarray, ...]:
-    rest, mark = span >> 18, span & (2**18 - 1)
-    return rest >> 14, mark, (rest >> 7) & 127, rest & 127
+    return span >> 14, (span >> 7) & 127, span & 127
 
 
 def suffix_rows(docs: DataFrame) -> DataFrame:
-    """``gram, stretch, doc, span`` of every sampled suffix of ``doc, mark, text``."""
+    """``gram, stretch, doc, mark, span`` of every sampled suffix of ``doc, mark, text``."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, mark = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+            doc, mark = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for rows, offsets, parts in _pieces(batch.column(2).to_pylist()):
                 owner, gram, stretch, start, n, place = sampled_suffixes(parts)
                 row, offset = np.array(rows)[owner], np.array(offsets)[owner]
-                span = _pack(start + offset, mark[row], n, place)
+                span = _pack(start + offset, n, place)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram), pa.array(stretch), pa.array(doc[row]), pa.array(span)],
-                    names=["gram", "stretch", "doc", "span"],
+                    [pa.array(column) for column in (gram, stretch, doc[row], mark[row], span)],
+                    names=["gram", "stretch", "doc", "mark", "span"],
                 )
 
-    return map_batches(docs, sample, "gram long, stretch long, doc long, span long")
+    return map_batches(docs, sample, "gram long, stretch long, doc long, mark long, span long")
 
 
 def compare_neighbours(suffixes: DataFrame) -> DataFrame:
-    """``gram, doc, span, whole`` of the suffixes whose gram occurs more than once.
+    """``gram, doc, mark, span, whole`` of the suffixes whose gram occurs more than once.
 
     ``whole`` marks stretches that stand before, all of them. The others are the
     first of their kind under a gram that has several kinds. A sorted partition
     streams through; nothing but the row before is held.
     """
-    ordered = suffixes.repartition("gram").sortWithinPartitions("gram", "stretch", "doc", "span")
+    ordered = suffixes.repartition("gram").sortWithinPartitions("gram", "stretch", "doc", "mark", "span")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # (gram, stretch) of the row before
         held = None  # the gram's first row, until its gram has a second kind
         for batch in batches:
-            gram, stretch, doc, span = (column.to_numpy() for column in batch.columns)
+            gram, stretch, doc, mark, span = (column.to_numpy() for column in batch.columns)
             if not len(gram):
                 continue
             before_gram = np.concatenate([[last[0] if last else ~gram[0]], gram[:-1]])
@@ -184,31 +181,32 @@ def compare_neighbours(suffixes: DataFrame) -> DataFrame:
             group = np.searchsorted(firsts, np.arange(len(gram)), side="right") - 1
             kinds = np.zeros(len(firsts) + 1, dtype=bool)  # at -1: the gram carried over
             kinds[group[later_kind]] = True
-            out_gram, out_doc, out_span, out_whole = [], [], [], []
+            columns = (gram, doc, mark, span)
+            out, out_whole = [[] for _ in columns], []
             if held is not None and kinds[-1]:
-                for values, value in zip((out_gram, out_doc, out_span), held):
+                for values, value in zip(out, held):
                     values.append(np.array([value]))
                 out_whole.append(np.array([False]))
                 held = None
             wanted = whole | later_kind
             wanted[firsts[kinds[:-1]]] = True
-            for values, column in zip((out_gram, out_doc, out_span), (gram, doc, span)):
+            for values, column in zip(out, columns):
                 values.append(column[wanted])
             out_whole.append(whole[wanted])
             if len(firsts):
                 at = firsts[-1]
-                held = None if kinds[len(firsts) - 1] else (gram[at], doc[at], span[at])
+                held = None if kinds[len(firsts) - 1] else tuple(column[at] for column in columns)
             last = (gram[-1], stretch[-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(v)) for v in (out_gram, out_doc, out_span, out_whole)],
-                names=["gram", "doc", "span", "whole"],
+                [pa.array(np.concatenate(v)) for v in (*out, out_whole)],
+                names=["gram", "doc", "mark", "span", "whole"],
             )
 
-    return map_batches(ordered, compare, "gram long, doc long, span long, whole boolean")
+    return map_batches(ordered, compare, "gram long, doc long, mark long, span long, whole boolean")
 
 
 def _stretches(docs: DataFrame, several: DataFrame) -> DataFrame:
-    """``gram, doc, span, alone, bytes`` of stretches, cut out of the texts.
+    """``gram, doc, mark, span, alone, bytes`` of stretches, cut out of the texts.
 
     Under a gram with very many kinds of stretches, each string is a row of its
     own, ``alone`` is true and ``gram`` is a hash of the string: the strings of
@@ -216,50 +214,51 @@ def _stretches(docs: DataFrame, several: DataFrame) -> DataFrame:
     """
     crowded = several.groupBy("gram").count().where(F.col("count") > CROWDED)
     several = several.join(crowded.select("gram", F.lit(True).alias("alone")), "gram", "left")
-    mark = F.col("span").bitwiseAND(2**18 - 1).cast("int").alias("_mark")
     one = F.struct("gram", "span", F.coalesce("alone", F.lit(False)).alias("alone"))
     lists = (
-        several.select(F.col("doc").alias("_doc"), mark, one.alias("one"))
+        several.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), one.alias("one"))
         .groupBy("_doc", "_mark")
         .agg(F.collect_list("one").alias("wanted"))
     )
     same = (F.col("doc") == F.col("_doc")) & (F.col("mark") == F.col("_mark"))
     rows = docs.join(lists, same).select(
-        "doc", "text", *[F.col(f"wanted.{name}").alias(name) for name in ("gram", "span", "alone")]
+        "doc", "mark", "text", *[F.col(f"wanted.{name}").alias(name) for name in ("gram", "span", "alone")]
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, text, *wanted in zip(*(column.to_pylist() for column in batch.columns)):
+            for doc, mark, text, *wanted in zip(*(column.to_pylist() for column in batch.columns)):
                 for gram, span, alone in zip(*wanted):
-                    start, mark, n, place = (int(x) for x in _unpack(np.int64(span)))
+                    start, n, place = (int(x) for x in _unpack(np.int64(span)))
                     part = text[start : start + n + LENGTH - 1]
                     if not alone:
-                        out.append((gram, doc, span, False, part))
+                        out.append((gram, doc, mark, span, False, part))
                         continue
                     for step in range(n):
                         string = part[step : step + LENGTH]
                         key = b"%d %d " % (gram, place - step) + string
                         number = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big", signed=True)
-                        out.append((number, doc, _pack(start + step, mark, 1, 0), True, None))
-            columns = list(zip(*out)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+                        out.append((number, doc, mark, _pack(start + step, 1, 0), True, None))
+            columns = list(zip(*out)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, kind) for values, kind in zip(columns, kinds)],
-                names=["gram", "doc", "span", "alone", "bytes"],
+                names=["gram", "doc", "mark", "span", "alone", "bytes"],
             )
 
-    return map_batches(rows, cut, "gram long, doc long, span long, alone boolean, bytes binary")
+    return map_batches(
+        rows, cut, "gram long, doc long, mark long, span long, alone boolean, bytes binary"
+    )
 
 
-def repeated_strings(gram, doc, span, parts: list[bytes]) -> Iterator[tuple[int, int, int]]:
+def repeated_strings(gram, span, parts: list[bytes]) -> Iterator[tuple[int, int, int]]:
     """(row, first start, below last start) of strings that an earlier row holds too.
 
-    Rows are stretches of one or several grams, sorted by gram, doc and span.
+    Rows are stretches of one or several grams, sorted by gram, doc, mark and span.
     Strings under one gram are equal only at the same distance from it.
     """
-    start, _, n, place = _unpack(span)
+    start, n, place = _unpack(span)
     data = np.frombuffer(b"".join(parts), dtype=np.uint8)
     begins = np.cumsum([0, *(len(part) for part in parts)])[:-1]
     strings = hash_runs(data, LENGTH)
@@ -282,22 +281,22 @@ def repeated_strings(gram, doc, span, parts: list[bytes]) -> Iterator[tuple[int,
 
 def compare_strings(stretches: DataFrame) -> DataFrame:
     """``doc, mark, from, below``: runs of bytes that repeat an earlier string."""
-    order = ["alone", "gram", "doc", "span"]
+    order = ["alone", "gram", "doc", "mark", "span"]
     ordered = stretches.repartition("alone", "gram").sortWithinPartitions(*order).select(
-        "gram", "doc", "span", "alone", "bytes"
+        "gram", "doc", "mark", "span", "alone", "bytes"
     )
 
     def found(rows: list[tuple]) -> pa.RecordBatch:
-        gram, doc, span = (np.array([row[at] for row in rows], dtype=np.int64) for at in range(3))
-        runs = list(repeated_strings(gram, doc, span, [row[4] for row in rows]))
-        return told(doc, span, runs)
+        gram, doc, mark, span = (np.array([row[at] for row in rows], dtype=np.int64) for at in range(4))
+        runs = list(repeated_strings(gram, span, [row[5] for row in rows]))
+        return told(doc, mark, runs)
 
-    def told(doc: np.ndarray, span: np.ndarray, runs: list[tuple]) -> pa.RecordBatch:
+    def told(doc: np.ndarray, mark: np.ndarray, runs: list[tuple]) -> pa.RecordBatch:
         at = np.array([run[0] for run in runs], dtype=np.int64)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(doc[at]),
-                pa.array(_unpack(span)[1][at].astype(np.int32)),
+                pa.array(mark[at]),
                 pa.array([run[1] for run in runs], pa.int64()),
                 pa.array([run[2] + LENGTH - 1 for run in runs], pa.int64()),
             ],
@@ -308,14 +307,14 @@ def compare_strings(stretches: DataFrame) -> DataFrame:
         held: list[tuple] = []
         before = None  # the last string that was a row of its own
         for batch in batches:
-            single = batch.filter(batch.column(3))
+            single = batch.filter(batch.column(4))
             if single.num_rows:
-                gram, doc, span = (single.column(at).to_numpy() for at in range(3))
+                gram, doc, mark, span = (single.column(at).to_numpy() for at in range(4))
                 last = np.concatenate([[~gram[0] if before is None else before], gram[:-1]])
                 again, before = np.flatnonzero(gram == last), gram[-1]
                 start = _unpack(span)[0]
-                yield told(doc, span, [(at, start[at], start[at] + 1) for at in again])
-            grouped = batch.filter(pa.compute.invert(batch.column(3)))
+                yield told(doc, mark, [(at, start[at], start[at] + 1) for at in again])
+            grouped = batch.filter(pa.compute.invert(batch.column(4)))
             for row in zip(*(column.to_pylist() for column in grouped.columns)):
                 if len(held) >= ROUND and held[-1][0] != row[0]:
                     yield found(held)
@@ -324,26 +323,26 @@ def compare_strings(stretches: DataFrame) -> DataFrame:
         if held:
             yield found(held)
 
-    return map_batches(ordered, compare, "doc long, mark int, from long, below long")
+    return map_batches(ordered, compare, "doc long, mark long, from long, below long")
 
 
 def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows ``doc, mark, text``; runs ``doc, mark, runs`` of repeated bytes)."""
-    rows = docs.select(*_row_key(), as_bytes().alias("text"))
-    distinct_rows = rows  # repeated rows share a key and must count once
-    doubled = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if doubled:
-        distinct_rows = rows.dropDuplicates(["doc", "mark"])
+    doubled = docs.groupBy(_doc().alias("doc")).count().where("count > 1").limit(1).count()
+    # a hash of the text tells rows of one id apart; without such rows it need not be carried
+    mark = F.xxhash64("text") if doubled else F.lit(0).cast("bigint")
+    rows = docs.select(_doc().alias("doc"), mark.alias("mark"), as_bytes().alias("text"))
+    # repeated rows share a key and must count once
+    distinct_rows = rows.dropDuplicates(["doc", "mark"]) if doubled else rows
     compared = settle(compare_neighbours(suffix_rows(distinct_rows)), "suffixes")
-    span = F.shiftright("span", 18)
-    start, n = F.shiftright(span, 14), F.shiftright(span, 7).bitwiseAND(127)
+    start, n = F.shiftright("span", 14), F.shiftright("span", 7).bitwiseAND(127)
     whole = compared.where("whole").select(
         "doc",
-        F.col("span").bitwiseAND(2**18 - 1).cast("int").alias("mark"),
+        "mark",
         start.alias("from"),
         (start + n + LENGTH - 1).alias("below"),
     )
-    several = compared.where("not whole").select("gram", "doc", "span")
+    several = compared.where("not whole").select("gram", "doc", "mark", "span")
     partly = compare_strings(_stretches(distinct_rows, several))
     runs = (
         whole.unionByName(partly)

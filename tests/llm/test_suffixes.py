@@ -82,6 +82,20 @@ def test_repeated_and_missing_ids(documents, prose):
     assert remove_repeats(documents([])).count() == 0
 
 
+def test_many_texts_under_one_id(documents, prose):
+    """3,000 texts without an id and 3,000 of one id: the first 18 bits of a hash are not enough."""
+    texts = [f"{i} " + prose(i, 25) for i in range(3000)]
+    assert min(len(text.encode()) for text in texts) >= 100
+    data = [(None, text, "a") for text in texts] + [(7, text, "a") for text in texts]
+    found = remove_repeats(documents(data)).select("doc_id", "n_bytes", "n_removed", "kept").collect()
+    assert len(found) == 6000
+    # every text without an id stands under id 7 before it and goes as a whole
+    assert all(r.n_removed == r.n_bytes and not r.kept for r in found if r.doc_id is None)
+    # texts of one id have no repeats among themselves
+    kept = sorted(bytes(r.kept).decode() for r in found if r.doc_id == 7)
+    assert kept == sorted(texts)
+
+
 def test_parts():
     data = np.frombuffer(b"abcabcabd", dtype=np.uint8)
     hashes = hash_runs(data, 3)
