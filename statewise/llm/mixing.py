@@ -3,7 +3,9 @@
 Every source is a queue of its documents in shuffled order, served up to
 ``MOST_COPIES`` times over. A document's virtual finish time is the number of
 its source's words up to and with it, divided by the source's weight; the mix
-serves documents in the order of these times and ends at the total budget.
+serves documents in the order of these times. Each source is served up to its
+target, rounded down: this cut decides what the mix takes, the times only order
+it. As the targets sum to the total budget, the mix ends there.
 """
 
 from __future__ import annotations
