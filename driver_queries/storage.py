@@ -10,10 +10,10 @@ from statewise.operators.ordering import number_rows
 from statewise.sinks.files import replace_partitions, write_csv, write_partitioned
 from statewise.sinks.tables import read_load_file, save_bucketed
 from statewise.sinks.upsert import KeyedStore, upsert
-from statewise.sources.archives import member_rows
+from statewise.sources.archives import member_rows, read_archives
 from statewise.sources.files import read_header_csv, read_months, read_typed_csv
 from statewise.streaming.ingest import ingest_available
-from statewise.workspace import discard, new_folder
+from statewise.workspace import _located, discard, new_folder
 
 ORDERS = (
     T.StructType()
@@ -161,30 +161,39 @@ def incremental_ingest(spark, folder):
 
 
 def _zipped_orders(spark, folder):
-    """One archive per batch of orders, as (path, content)."""
+    """A folder with one archive per batch of orders, written by the tasks."""
     header = ",".join(ORDERS.fieldNames())
+    location, files = _located(spark, new_folder(spark, "archives"))
+    files.mkdirs(location)
+    target = files.makeQualified(location).toString()
 
     def pack(batches):
         import io
-        import uuid
         import zipfile
 
         import pandas as pd
+        from pyarrow.fs import FileSystem
+        from pyspark import TaskContext
 
-        for frame in batches:
+        store, path = FileSystem.from_uri(target)
+        part = TaskContext.get().partitionId()
+        for number, frame in enumerate(batches):
             content = io.BytesIO()
             with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("other.csv", "not,wanted\n1,2\n")
                 archive.writestr("orders.csv", "\n".join([header, *frame["line"]]))
-            name = f"{uuid.uuid4().hex}.zip"
-            yield pd.DataFrame({"path": [name], "content": [content.getvalue()]})
+            name = f"{part}-{number}.zip"  # a repeated attempt writes the same file
+            with store.open_output_stream(f"{path}/{name}") as out:
+                out.write(content.getvalue())
+            yield pd.DataFrame({"name": [name]})
 
     lines = _orders(spark, folder).select(F.to_csv(F.struct("*")).alias("line"))
-    return lines.mapInPandas(pack, "path string, content binary")
+    lines.mapInPandas(pack, "name string").count()
+    return target
 
 
 def zip_member_rows(spark, folder):
-    archives = _zipped_orders(spark, folder)
+    archives = read_archives(spark, _zipped_orders(spark, folder))
     return member_rows(archives, ["orders.csv"], ORDERS).drop("path", "member")
 
 

@@ -111,3 +111,13 @@ def test_missing_zip_member_fails(spark, tmp_path):
     archive(tmp_path / "1.zip", other="a\n")
     with pytest.raises(Exception, match="wanted.csv"):
         member_lines(read_archives(spark, str(tmp_path)), ["wanted.csv"]).collect()
+
+
+def test_the_zip_query_scans_archives_in_the_shared_folder(spark, plan_of):
+    from driver_queries.storage import zip_member_rows
+
+    found = zip_member_rows(spark, "/root/testdata/sf0.001")
+    assert "binaryFile" in plan_of(found)
+    files = found.inputFiles()
+    assert files and all(name.endswith(".zip") and "/archives-" in name for name in files)
+    assert found.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
