@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statewise.llm import sql
+from statewise.llm.alignment import align_and_score
 from statewise.llm.decontaminate import contamination
+from statewise.llm.exact_copies import exact_copies
 from statewise.llm.fixity import audit_pages
 from statewise.llm.html_text import extract_text
 from statewise.llm.line_spread import remove_shared_lines
+from statewise.llm.manifest import audit_documents
 from statewise.llm.mixing import mix
 from statewise.llm.ngram_join import near_duplicates
 from statewise.llm.preferences import mask_text, preference_pairs, with_other_answers
@@ -71,6 +74,18 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition_measures(_table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_documents(_table(spark, folder, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_and_score(_table(spark, folder, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_copies(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_preference_format": op1_preference_format,
     "op2_mix_sources": op2_mix_sources,
@@ -82,6 +97,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 SQL = {
@@ -91,4 +109,6 @@ SQL = {
     "op4_line_dedup": sql.LINE_SPREAD,
     "op9_benchmark_decontamination": sql.CONTAMINATION,
     "op10_quality_rules": sql.repetition(),
+    "op11_merkle_manifest": sql.MANIFEST,
+    "op13_exact_dedup": sql.EXACT_COPIES,
 }

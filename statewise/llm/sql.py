@@ -208,3 +208,83 @@ SELECT page_id, CAST(start AS BIGINT) AS "offset", n_bytes,
        CASE pick WHEN '00' THEN 'changed' ELSE 'missing' END AS status
 FROM placed WHERE pick IN ('00', '01')
 """
+
+EXACT_COPIES = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def _field(name: str, value: str | None = None) -> str:
+    text = f"CAST({value or name} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _levels(name: str, leaves: str) -> str:
+    """A table of all levels over ``leaves`` (``tree, level, pos, hash, n``)."""
+    return f"""{name} AS (
+    SELECT tree, level, pos, hash, n FROM {leaves}
+    UNION ALL
+    SELECT tree, level + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos)), (n + 15) // 16
+    FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 16, n
+), {name}_run AS (
+    SELECT tree, level, pos // 16 AS up, list(hash ORDER BY pos) AS hashes
+    FROM {name} WHERE n > 1 GROUP BY ALL
+)"""
+
+
+def _ascent(name: str, start: str, runs: str) -> str:
+    """``start`` (``doc_id, tree, level, pos, folded, proof``) through ``runs``."""
+    left = "array_to_string(hashes[1:pos % 16], '')"
+    right = "array_to_string(hashes[pos % 16 + 2:], '')"
+    return f"""{name} AS (
+    SELECT doc_id, tree, level, pos, folded, proof FROM {start}
+    UNION ALL
+    SELECT doc_id, tree, level + 1, pos // 16, sha256({left} || folded || {right}),
+           proof || {left} || {right}
+    FROM {name} JOIN {runs} USING (tree, level) WHERE pos // 16 = up
+), {name}_end AS (
+    SELECT * FROM {name} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1
+)"""
+
+
+_REST = " || ".join(_field(name) for name in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MANIFEST = f"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], LAMBDA c, _:
+        CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS entry
+    FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))
+), doc AS (
+    SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+            string_split(CAST(doc_id AS VARCHAR), ''), LAMBDA x: CAST(ascii(x) AS BIGINT))),
+            LAMBDA c, x: xor(c >> 8, entry[xor(c, x) % 256 + 1])), 4294967295) % 5 = 0 AS picked,
+        sha256({_REST} || {_field("text")}) AS leaf,
+        sha256({_REST} || {_field("text", _LOWERED)}) AS lowered,
+        coalesce('=' || source, '-') AS tree
+    FROM documents, crc
+), leaf AS (
+    SELECT doc_id, tree, 0 AS level, leaf AS hash, CASE WHEN picked THEN lowered ELSE leaf END AS folded,
+           row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos,
+           count(*) OVER (PARTITION BY tree) AS n, '' AS proof
+    FROM doc
+), {_levels("node", "leaf")}, subroot AS (
+    SELECT '^' AS tree, tree AS grp, 0 AS level, hash, count(*) OVER () AS n,
+           row_number() OVER (ORDER BY tree <> '-', tree) - 1 AS pos
+    FROM node WHERE n = 1
+), {_levels("top", "subroot")}, {_ascent("climb", "leaf", "node_run")}, halfway AS (
+    SELECT doc_id, s.tree, s.level, s.pos, folded, proof
+    FROM climb_end c JOIN subroot s ON c.tree = s.grp
+), {_ascent("finish", "halfway", "top_run")}
+SELECT doc_id, leaf.hash AS leaf, subroot.hash AS subroot, root.hash AS root,
+       sha256(finish_end.proof) AS proof_sha256, finish_end.folded AS folded_root,
+       finish_end.folded = root.hash AS verified
+FROM leaf JOIN subroot ON leaf.tree = subroot.grp JOIN finish_end USING (doc_id),
+     (SELECT hash FROM top WHERE n = 1) AS root
+"""
