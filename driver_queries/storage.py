@@ -8,9 +8,12 @@ from pyspark.sql import types as T
 from driver_queries.stand_ins import new_database, table
 from statewise.operators.ordering import number_rows
 from statewise.sinks.files import replace_partitions, write_csv, write_partitioned
+from statewise.sinks.layout import SALT, save_spread, write_z_ordered
+from statewise.sinks.registry import KeyRegistry, register, with_registered
 from statewise.sinks.tables import read_load_file, save_bucketed
 from statewise.sinks.upsert import KeyedStore, upsert
-from statewise.sources.archives import member_rows, read_archives
+from statewise.sinks.versioned import VersionedStore, upsert_versioned
+from statewise.sources.archives import member_rows
 from statewise.sources.files import read_header_csv, read_months, read_typed_csv
 from statewise.streaming.ingest import ingest_available
 from statewise.workspace import _located, discard, new_folder
@@ -193,8 +196,74 @@ def _zipped_orders(spark, folder):
 
 
 def zip_member_rows(spark, folder):
-    archives = read_archives(spark, _zipped_orders(spark, folder))
-    return member_rows(archives, ["orders.csv"], ORDERS).drop("path", "member")
+    rows = member_rows(spark, _zipped_orders(spark, folder), ["orders.csv"], ORDERS)
+    return rows.drop("path", "member")
+
+
+def stable_city_ids(spark, folder):
+    """Customers numbered once, then again with others among them."""
+    names = T.StructType().add("c_mktsegment", "string").add("c_name", "string")
+    registry = KeyRegistry(new_folder(spark, "registry"), names, "city_id")
+    customers = table(spark, folder, "customer").select("c_mktsegment", "c_name", "c_custkey")
+    register(registry, customers.where("c_custkey % 10 <> 0"))
+    return with_registered(registry, customers)
+
+
+def _versioned_events(spark):
+    name = f"{new_database(spark)}.latest_events"
+    path = new_folder(spark, "versions")
+    return VersionedStore(
+        name, path, EVENTS, ["user_id", "event_type"], ["ts", "event_id"], ["event_type"]
+    )
+
+
+def versioned_upsert(spark, folder):
+    events = table(spark, folder, "events").select(*EVENTS.fieldNames())
+    store = _versioned_events(spark)
+    late = F.coalesce(F.col("value") >= 10, F.lit(False))
+    for half in (late, ~late):
+        upsert_versioned(store, events.where(half))
+    return store.read(spark).drop("ts")
+
+
+def repeated_delivery(spark, folder):
+    """Partitions that each delivery has rows for, and that it makes be written anew."""
+    events = table(spark, folder, "events").select(*EVENTS.fieldNames())
+    corrected = F.when(F.col("event_type") == "view", F.lit(-1.0)).otherwise(F.col("value"))
+    later = F.when(F.col("event_type") == "view", F.expr("ts + interval 1 day")).otherwise(F.col("ts"))
+    store = _versioned_events(spark)
+    said = []
+    for n, delivery in enumerate(
+        [events, events, events.withColumns({"value": corrected, "ts": later}), events]
+    ):
+        done = upsert_versioned(store, delivery)
+        said.append((n, done.version, done.touched, done.rewritten))
+    return spark.createDataFrame(said, "delivery int, version int, touched int, rewritten int")
+
+
+def bucketed_hot_join(spark, folder):
+    """Events with the largest value of their type; a few types have all the rows."""
+    place, database = new_folder(spark, "spread"), new_database(spark)
+    events = table(spark, folder, "events").select("event_type", "event_id", "value")
+    most = events.groupBy("event_type").agg(F.max("value").alias("most"))
+    names = (f"{database}.events", f"{database}.types")
+    save_spread(events, most, "event_type", names, (f"{place}/events", f"{place}/types"), 16)
+    joined = spark.table(names[0]).join(spark.table(names[1]), ["event_type", SALT])
+    return joined.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") * 2 >= F.col("most")).alias("n_large")
+    )
+
+
+def z_order_scan(spark, folder):
+    """A box of dates and parts from files in Z-order of both."""
+    path = new_folder(spark, "layout")
+    write_z_ordered(table(spark, folder, "lineitem"), path, ["l_shipdate", "l_partkey"], 16)
+    box = (F.year("l_shipdate") == 1997) & F.col("l_partkey").between(100, 400)
+    return (
+        spark.read.parquet(path)
+        .where(box)
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    )
 
 
 QUERIES = {
@@ -210,6 +279,11 @@ QUERIES = {
     "upsert_null_partition": upsert_null_partition,
     "incremental_ingest": incremental_ingest,
     "zip_member_rows": zip_member_rows,
+    "stable_city_ids": stable_city_ids,
+    "versioned_upsert": versioned_upsert,
+    "repeated_delivery": repeated_delivery,
+    "bucketed_hot_join": bucketed_hot_join,
+    "z_order_scan": z_order_scan,
 }
 
 _ORDERS = """
@@ -254,4 +328,23 @@ SQL = {
             ORDER BY ts DESC, event_id DESC) = 1""",
     "incremental_ingest": _LATEST,
     "zip_member_rows": _ORDERS,
+    "stable_city_ids": """
+        SELECT CASE WHEN c_custkey % 10 <> 0 THEN 0 ELSE 1000000 END + row_number() OVER (
+                   PARTITION BY c_custkey % 10 <> 0 ORDER BY c_mktsegment, c_name) AS city_id,
+               c_mktsegment, c_name, c_custkey
+        FROM customer""",
+    "versioned_upsert": _LATEST,
+    "repeated_delivery": """
+        WITH n AS (SELECT cast(count(DISTINCT event_type) AS integer) AS types,
+                          cast(max(cast(event_type = 'view' AS integer)) AS integer) AS views FROM events)
+        SELECT unnest([0, 1, 2, 3]) AS delivery, unnest([1, 1, 1 + views, 1 + views]) AS version,
+               types AS touched, unnest([types, 0, views, 0]) AS rewritten
+        FROM n""",
+    "bucketed_hot_join": """
+        SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value * 2 >= most) AS n_large
+        FROM events JOIN (SELECT event_type, max(value) AS most FROM events GROUP BY 1) USING (event_type)
+        GROUP BY event_type""",
+    "z_order_scan": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+        WHERE year(l_shipdate) = 1997 AND l_partkey BETWEEN 100 AND 400""",
 }

@@ -67,7 +67,7 @@ class ByteBpe:
                 self.pieces[number] = bytes(letters[letter] for letter in piece)
         self._fast = self._exact = None
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         """Ids of ``text``, strings of special tokens being plain text.
 
         In such a vocabulary ids rise in the order of the merges, so ranks give the
@@ -82,13 +82,13 @@ class ByteBpe:
                 self._fast = tiktoken.Encoding(
                     "byte_bpe", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}
                 )
-            return self._fast.encode_ordinary(text)
+            return self._fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
         if self._exact is None:
             from tokenizers import Tokenizer
 
             self._exact = Tokenizer.from_str(self.content.decode("utf-8"))
             self._exact.encode_special_tokens = True
-        return self._exact.encode(text, add_special_tokens=False).ids
+        return np.array(self._exact.encode(text, add_special_tokens=False).ids, dtype=np.int64)
 
 
 class PieceBpe:
@@ -106,17 +106,19 @@ class PieceBpe:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode("utf-8")
 
-    def encode(self, text: str) -> list[int]:
-        return self._model.encode(text, num_threads=1)
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self._model.encode(text, num_threads=1), dtype=np.int64)
 
 
 @lru_cache(maxsize=2)
 def _tokenizers(a: bytes, b: bytes):
-    """Both tokenizers with the byte lengths and the decimal forms of their ids."""
+    """Both tokenizers with the byte lengths of their ids, and the decimal forms of
+    those, first before a comma, then before the end of their side of a group."""
     made = []
-    for tokenizer in (ByteBpe(a), PieceBpe(b)):
+    for tokenizer, end in ((ByteBpe(a), b"|"), (PieceBpe(b), b";")):
         sizes = np.array([len(piece) for piece in tokenizer.pieces], dtype=np.int64)
-        made.append((tokenizer, sizes, [str(number) for number in range(len(sizes))]))
+        names = [str(number).encode() + mark for mark in (b",", end) for number in range(len(sizes))]
+        made.append((tokenizer, sizes, np.array(names, dtype=object)))
     return made
 
 
@@ -128,16 +130,17 @@ def common_ends(a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[int
     in_a: list[int] = []
     in_b: list[int] = []
     n = len(b)
+    b = [*b, float("inf")]
     low = 0
     for place, wanted in enumerate(a):
-        high, step = low, 1
-        while high < n and b[high] < wanted:
-            low = high + 1
-            high += step
-            step *= 2
-        low = bisect_left(b, wanted, low, min(high, n))
-        if low == n:
-            break
+        if b[low] < wanted:
+            step = 1
+            high = low + 1
+            while high < n and b[high] < wanted:
+                low = high
+                step *= 2
+                high += step
+            low = bisect_left(b, wanted, low + 1, min(high, n))
         if b[low] == wanted:
             in_a.append(place)
             in_b.append(low)
@@ -166,9 +169,10 @@ def linked_pairs(
         b_group, b = np.divmod(b_keys, n_b_ids)
         by_id = np.argsort(a, kind="stable")
         a_group, a, a_times = a_group[by_id], a[by_id], a_times[by_id]
+        b_in_group = np.bincount(b_group, minlength=len(groups))
     else:
-        a_times, b_times = np.ones(len(a), dtype=np.int64), np.ones(len(b), dtype=np.int64)
-    b_in_group = np.bincount(b_group, minlength=len(groups))
+        a_times = None  # every token counts once
+        b_in_group = b_sizes
     b_start = np.cumsum(b_in_group) - b_in_group
     partners = b_in_group[a_group]
     listed = np.cumsum(partners)
@@ -187,11 +191,14 @@ def linked_pairs(
         first = np.repeat(b_start[a_group[taken]] - (np.cumsum(reps) - reps), reps)
         partner = first + np.arange(len(first))
         codes = np.repeat(a[taken], reps) * n_b_ids + b[partner]
-        times = np.repeat(a_times[taken], reps) * b_times[partner]
-        found, inverse = np.unique(codes, return_inverse=True)
-        total = np.zeros(len(found), dtype=np.int64)
-        np.add.at(total, inverse, times)
-        yield found, total
+        if a_times is None:
+            yield np.unique(codes, return_counts=True)
+        else:
+            times = np.repeat(a_times[taken], reps) * b_times[partner]
+            found, inverse = np.unique(codes, return_inverse=True)
+            total = np.zeros(len(found), dtype=np.int64)
+            np.add.at(total, inverse, times)
+            yield found, total
         begin = end
 
 
@@ -203,25 +210,32 @@ def _aligned(text: str | None, made):
     raw = whole.encode("utf-8")
     (a_tokenizer, a_lengths, _), (b_tokenizer, b_lengths, _) = made
     a, b = a_tokenizer.encode(whole), b_tokenizer.encode(text)
-    if b"".join([a_tokenizer.pieces[i] for i in a]) != raw:
+    a_ends, b_ends = np.cumsum(a_lengths[a]), np.cumsum(b_lengths[b])
+    if not len(a) or not len(b) or a_ends[-1] != len(raw) or b_ends[-1] != len(raw):
         return None
-    if b"".join([b_tokenizer.pieces[i] for i in b]) != raw:
-        return None
-    a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-    ends = common_ends(np.cumsum(a_lengths[a]).tolist(), np.cumsum(b_lengths[b]).tolist())
-    return a, b, *ends
+    for tokenizer, ids in ((a_tokenizer, a), (b_tokenizer, b)):
+        if b"".join(map(tokenizer.pieces.__getitem__, ids.tolist())) != raw:
+            return None
+    in_a, in_b = common_ends(a_ends.tolist(), b_ends.tolist())
+    return a, b, np.array(in_a), np.array(in_b)
+
 
+def _groups_text(a, b, in_a, in_b, made) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``.
 
-def _groups_text(a, b, in_a, in_b, made) -> str:
-    """``a1,a2|b1;a3|b2,b3``."""
-    (_, _, a_names), (_, _, b_names) = made
-    a, b = [a_names[i] for i in a.tolist()], [b_names[i] for i in b.tolist()]
-    parts, a_from, b_from = [], 0, 0
-    for a_end, b_end in zip(in_a, in_b):
-        left, right = ",".join(a[a_from : a_end + 1]), ",".join(b[b_from : b_end + 1])
-        parts.append(f"{left}|{right}")
-        a_from, b_from = a_end + 1, b_end + 1
-    return ";".join(parts)
+    Each token's place in the text is its own number and the number of tokens of
+    the other list before it: for A those up to the group before, for B those up
+    to the end of the group.
+    """
+    (_, a_lengths, a_names), (_, b_lengths, b_names) = made
+    names = np.empty(len(a) + len(b), dtype=object)
+    a_sizes, b_sizes = np.diff(in_a, prepend=-1), np.diff(in_b, prepend=-1)
+    a_named, b_named = a.copy(), b.copy()
+    a_named[in_a] += len(a_lengths)
+    b_named[in_b] += len(b_lengths)
+    names[np.arange(len(a)) + np.repeat(in_b + 1 - b_sizes, a_sizes)] = a_names[a_named]
+    names[np.arange(len(b)) + np.repeat(in_a + 1, b_sizes)] = b_names[b_named]
+    return b"".join(names.tolist())[:-1]
 
 
 def _contents(folder: str, a_file: str, b_file: str) -> tuple[bytes, bytes]:
@@ -261,11 +275,11 @@ def align_documents(
         a, b, in_a, in_b = found
         a_sizes, b_sizes = np.diff(in_a, prepend=-1), np.diff(in_b, prepend=-1)
         groups = _groups_text(a, b, in_a, in_b, made)
-        digest = hashlib.sha256(groups.encode("ascii")).hexdigest()
+        digest = hashlib.sha256(groups).hexdigest()
         counts = len(a), len(b), len(in_a), int((a_sizes * b_sizes).sum())
         blocks = linked_pairs(a, b, a_sizes, b_sizes, len(made[1][1]))
         for part, (codes, times) in enumerate(blocks):
-            yield part, *counts, digest, codes, times, groups if part == 0 else ""
+            yield part, *counts, digest, codes, times, groups.decode() if part == 0 and with_groups else ""
 
     def align(batches):
         made = _tokenizers(*files.value)
