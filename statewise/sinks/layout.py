@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statewise.sinks.tables import save_bucketed
 from statewise.workspace import settle
@@ -36,17 +37,17 @@ def write_sorted(df: DataFrame, path: str, sort_by: Sequence[str], files: int) -
     ).parquet(path)
 
 
-def _rank(value: Column, splitters: Sequence) -> Column:
-    """How many of the rising ``splitters`` are at most ``value``: a binary search
+def _rank(name: str, kind: T.DataType, splitters: Sequence) -> Column:
+    """How many of the rising ``splitters`` are at most the value: a binary search
     in as many steps as there are bits. NULL is 0."""
-    steps = len(splitters).bit_length()
-    held = F.array(*[F.lit(splitter) for splitter in splitters])
-    rank = F.lit(0)
-    for bit in reversed(range(steps)):
-        tried = rank + 2**bit
-        at = F.when(tried <= len(splitters), F.get(held, tried - 1))
-        rank = F.when(at <= value, tried).otherwise(rank)
-    return F.coalesce(rank, F.lit(0))
+    held = F.array(*[F.lit(splitter) for splitter in splitters]).cast(T.ArrayType(kind))
+    halves = F.array(*[F.lit(2**bit) for bit in reversed(range(len(splitters).bit_length()))])
+
+    def narrowed(rank: Column, step: Column) -> Column:
+        # Beyond the end, and for NULL, the comparison is NULL and the rank stays.
+        return F.when(F.get(held, rank + step - 1) <= F.col(name), rank + step).otherwise(rank)
+
+    return F.aggregate(halves, F.lit(0), narrowed)
 
 
 def z_order_key(df: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> Column:
@@ -58,7 +59,8 @@ def z_order_key(df: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> Co
     shares = F.array(*[F.lit(i / 2**bits) for i in range(1, 2**bits)])
     found = df.agg(*[F.percentile_approx(name, shares, 10_000).alias(name) for name in columns]).first()
     ranks = [
-        _rank(F.col(name), sorted(found[name])) if found[name] else F.lit(0) for name in columns
+        _rank(name, df.schema[name].dataType, sorted(found[name])) if found[name] else F.lit(0)
+        for name in columns
     ]
     parts = []
     for bit in range(bits):
@@ -134,7 +136,7 @@ def save_spread(
     others = [F.col(name) for name in facts.columns if name != key]
     dealt = F.pmod(F.xxhash64(*(others or [F.col(key)])), salts).cast("int")
     dealt = F.when(F.col(key).isNull(), F.lit(0)).otherwise(dealt)
-    copies = F.explode(F.sequence(F.lit(0), salts - 1)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), salts - 1))
     save_bucketed(facts.withColumn(SALT, dealt), tables[0], paths[0], [key, SALT], buckets)
     save_bucketed(lookup.withColumn(SALT, copies), tables[1], paths[1], [key, SALT], buckets)
     return heavy

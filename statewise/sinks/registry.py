@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +54,27 @@ def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumnsRenamed({name: f"_{name}" for name in names})
 
 
+def _created(spark: SparkSession, path: str) -> bool:
+    """Whether this call made the file, in one step of the store.
+
+    The store must refuse to create a file that is there, as HDFS does. Hadoop's
+    own local file system looks first and creates then, which two loads can do at once.
+    """
+    place, files = _located(spark, path)
+    try:
+        if files.getUri().getScheme() == "file":
+            open(place.toUri().getPath(), "x").close()
+        else:
+            files.create(place, False).close()
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def take_blocks(spark: SparkSession, registry: KeyRegistry, n: int) -> list[int]:
     """Numbers of ``n`` blocks that no other load has or will get."""
     folder, files = _located(spark, f"{registry.path}/blocks")
@@ -62,8 +84,7 @@ def take_blocks(spark: SparkSession, registry: KeyRegistry, n: int) -> list[int]
     following = max(taken, default=-1) + 1
     ours: list[int] = []
     while len(ours) < n:
-        place, _ = _located(spark, f"{registry.path}/blocks/block-{following}")
-        if files.createNewFile(place):
+        if _created(spark, f"{registry.path}/blocks/block-{following}"):
             ours.append(following)
         following += 1
     return ours

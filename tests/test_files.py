@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import io
+import json
 import zipfile
 
 import pytest
@@ -8,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statewise.sinks.files import replace_partitions, write_csv, write_partitioned
-from statewise.sources.archives import member_lines, member_rows, read_archives
+from statewise.sources import archives
+from statewise.sources.archives import member_lines, member_rows
 from statewise.sources.files import (
     month_file,
     read_documents,
@@ -89,35 +92,83 @@ def archive(path, **members):
 def test_zip_members(spark, tmp_path):
     archive(tmp_path / "1.zip", wanted='a,b\r\n1,"x, y"\r\n2,\r\n', other="a,b\n8,no\n")
     archive(tmp_path / "2.zip", wanted="\ufeffa,b\n3,z\n\n", other="a,b\n")
-    archives = read_archives(spark, str(tmp_path))
-    frame = member_rows(archives, ["wanted.csv"], PAIR).drop("path", "member")
+    path = str(tmp_path)
+    frame = member_rows(spark, path, ["wanted.csv"], PAIR).drop("path", "member")
     assert rows(frame) == [(1, "x, y"), (2, None), (3, "z")]
-    both = member_rows(archives, ["wanted.csv", "other.csv"], PAIR)
-    assert both.count() == 4
+    assert member_rows(spark, path, ["wanted.csv", "other.csv"], PAIR).count() == 4
+    assert member_rows(spark, path, None, PAIR).count() == 4
 
 
 def test_zip_batches_and_quoted_line_breaks(spark, tmp_path):
     body = "".join(f'{i},"line\nbreak {i}"\n' for i in range(25))
     archive(tmp_path / "1.zip", wanted="a,b\n" + body)
-    archives = read_archives(spark, str(tmp_path))
-    lines = member_lines(archives, ["wanted.csv"], multi_line=True, batch_lines=4)
+    path = str(tmp_path)
+    lines = member_lines(spark, path, ["wanted.csv"], multi_line=True, batch_lines=4)
     assert [r.line_no for r in lines.orderBy("line_no").collect()] == list(range(26))
-    assert member_lines(archives, ["wanted.csv"]).count() == 51
-    parsed = member_rows(archives, ["wanted.csv"], PAIR, multi_line=True)
+    assert member_lines(spark, path, ["wanted.csv"]).count() == 51
+    parsed = member_rows(spark, path, ["wanted.csv"], PAIR, multi_line=True)
     assert parsed.where(F.col("b") == F.concat(F.lit("line\nbreak "), F.col("a").cast("string"))).count() == 25
 
 
 def test_missing_zip_member_fails(spark, tmp_path):
     archive(tmp_path / "1.zip", other="a\n")
     with pytest.raises(Exception, match="wanted.csv"):
-        member_lines(read_archives(spark, str(tmp_path)), ["wanted.csv"]).collect()
+        member_lines(spark, str(tmp_path), ["wanted.csv"]).collect()
+
+
+def test_large_members_are_tasks_of_their_own_and_small_ones_share(tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "TASK_BYTES", 100)
+    with zipfile.ZipFile(tmp_path / "1.zip", "w") as target:  # stored, so sizes are known
+        for name, size in (("a", 300), ("b", 40), ("c", 40), ("d", 400)):
+            target.writestr(name, "x" * size)
+    uri = (tmp_path / "1.zip").as_uri()
+    options = {"archives": json.dumps([uri]), "members": "null", "multi_line": "false", "batch_lines": "9"}
+    tasks = [[name for _, name in task.listed] for task in archives.ZipMemberReader(options).partitions()]
+    assert tasks == [["a"], ["b", "c"], ["d"]]
+
+
+class Tail(io.RawIOBase):
+    """A file of which only the last bytes are held; before them stand zeros."""
+
+    def __init__(self, before: int, tail: bytes):
+        self.before, self.tail, self.at, self.given = before, tail, 0, 0
+
+    def seekable(self):
+        return True
+
+    def readable(self):
+        return True
+
+    def tell(self):
+        return self.at
+
+    def seek(self, offset, whence=0):
+        self.at = offset + {0: 0, 1: self.at, 2: self.before + len(self.tail)}[whence]
+        return self.at
+
+    def readinto(self, buffer):
+        assert self.at >= self.before, "read outside the ranges of the member"
+        given = self.tail[self.at - self.before : self.at - self.before + len(buffer)]
+        buffer[: len(given)] = given
+        self.at += len(given)
+        self.given += len(given)
+        return len(given)
+
+
+def test_a_member_behind_three_gigabytes_is_read_by_its_range(tmp_path, monkeypatch):
+    before = 3 * 2**30
+    archive(tmp_path / "1.zip", wanted="a,b\n1,x\n")
+    monkeypatch.setattr(archives, "_open", lambda uri: Tail(before, (tmp_path / "1.zip").read_bytes()))
+    options = {"archives": '["big.zip"]', "members": "null", "multi_line": "false", "batch_lines": "9"}
+    reader = archives.ZipMemberReader(options)
+    (task,) = reader.partitions()
+    (batch,) = reader.read(task)
+    assert batch.column("line").to_pylist() == ["a,b", "1,x"]
 
 
 def test_the_zip_query_scans_archives_in_the_shared_folder(spark, plan_of):
     from driver_queries.storage import zip_member_rows
 
     found = zip_member_rows(spark, "/root/testdata/sf0.001")
-    assert "binaryFile" in plan_of(found)
-    files = found.inputFiles()
-    assert files and all(name.endswith(".zip") and "/archives-" in name for name in files)
+    assert "zip_members" in plan_of(found)
     assert found.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
