@@ -40,6 +40,18 @@ def _find_package(context) -> None:
         context.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def unlike(columns: Sequence[str], *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column has that name."""
+    taken = {column.lower() for column in columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def as_bytes(name: str = "text") -> Column:
     """Text as UTF-8 bytes, NULL as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")

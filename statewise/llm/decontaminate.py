@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statewise.llm.common import as_bytes, covered, map_batches, mix, rolling
+from statewise.llm.common import as_bytes, covered, map_batches, mix, rolling, unlike
 from statewise.workspace import settle
 
 WINDOW = 13
@@ -120,13 +120,14 @@ def _sets(benchmark: DataFrame, window: int) -> list:
 
 
 def _scan(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
-    """``docs`` with ``_hits`` (word numbers in pairs: from, below) and ``_items``."""
+    """``docs`` with two last columns: hits (word numbers in pairs: from, below) and items."""
     sets = _sets(benchmark, window)
-    columns = [name for name in docs.columns if name not in ("_hits", "_items")]
+    columns = docs.columns
+    hits, items = unlike(columns, "_hits", "_items")
     found = docs.select(
         *columns,
-        F.array().cast("array<int>").alias("_hits"),
-        F.array().cast("array<string>").alias("_items"),
+        F.array().cast("array<int>").alias(hits),
+        F.array().cast("array<string>").alias(items),
     )
     text_at = columns.index("text")
 
@@ -221,8 +222,8 @@ def decontaminate(
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove documents or spans, not {remove}")
     found = _scan(docs, benchmark, window)
-    columns = [name for name in docs.columns if name not in ("_hits", "_items")]
-    schema = docs.select(*columns).schema
+    columns = docs.columns
+    schema = docs.schema
     text_at = columns.index("text")
     count_at = columns.index("n_chars") if "n_chars" in columns else None
 

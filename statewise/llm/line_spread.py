@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statewise.llm.common import unlike
 from statewise.workspace import settle
 
 LEAST_SITES = 10
@@ -22,14 +23,25 @@ def _lines():
     return F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
 
 
-def _key():
+def _key(key: str = "_key", size: str = "_bytes"):
     """A row's identity: repeated rows share it, and lose the same lines."""
     return [
-        F.xxhash64("doc_id", "text").alias("_key"),
-        F.octet_length(F.coalesce(F.col("text"), F.lit(""))).alias("_bytes"),
+        F.xxhash64("doc_id", "text").alias(key),
+        F.octet_length(F.coalesce(F.col("text"), F.lit(""))).alias(size),
     ]
 
 
+def _without(gone):
+    """The text without the lines at the places ``gone``, in time linear in its lines."""
+
+    def joined(lines):
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(places, lambda at: F.get(lines, at)), "\n")
+
+    # As the variable of an outer array of one, the text is split once, not per line.
+    return F.get(F.transform(F.array(_lines()), joined), 0)
+
+
 def shared_lines(lines: DataFrame, least_sites: int = LEAST_SITES) -> DataFrame:
     """Hashes of the lines found on ``least_sites`` distinct sites or more.
 
@@ -62,10 +74,13 @@ def remove_shared_lines(
     Lines are cut at ``\\n`` and compared without white space at their ends;
     blank lines are never counted or removed. A removed line goes from every
     document that holds it. NULL texts stay NULL, a text may become empty, a row
-    never goes. ``n_chars``, where present, follows the text. Columns named
-    ``n_lines`` or ``n_removed`` are replaced.
+    never goes. ``n_chars``, where present, follows the text. Texts are taken
+    whole, in time linear in their lines. Columns named ``n_lines`` or
+    ``n_removed`` are replaced, all others kept, whatever their names.
     """
-    kept = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
+    kept = [name for name in docs.columns if name.lower() not in ("n_lines", "n_removed")]
+    names = unlike(docs.columns, "_row", "_size", "_of_row", "_of_size", "_removed")
+    key, size, of_key, of_size, removed_at = names
     trimmed = F.trim(F.col("_line"), F.lit(WHITE))
     lines = settle(
         docs.select(*_key(), F.col(site).cast("string").alias("site"), F.posexplode(_lines()).alias("at", "_line"))
@@ -77,16 +92,14 @@ def remove_shared_lines(
     removed = (
         lines.join(shared, "line", "left_semi")
         .groupBy("_key", "_bytes")
-        .agg(F.collect_set("at").alias("_removed"))
-        .withColumnsRenamed({"_key": "_of_key", "_bytes": "_of_bytes"})
+        .agg(F.collect_set("at").alias(removed_at))
+        .withColumnsRenamed({"_key": of_key, "_bytes": of_size})
     )
-    keyed = docs.select(*kept, *_key())
-    same = (F.col("_key") == F.col("_of_key")) & (F.col("_bytes") == F.col("_of_bytes"))
+    keyed = docs.select(*kept, *_key(key, size))
+    same = (F.col(key) == F.col(of_key)) & (F.col(size) == F.col(of_size))
     joined = keyed.join(removed, same, "left")
-    gone = F.coalesce(F.col("_removed"), F.array().cast("array<int>"))
-    rest = F.array_join(
-        F.filter(_lines(), lambda line, at: ~F.array_contains(gone, at)), "\n"
-    )
+    gone = F.coalesce(F.col(removed_at), F.array().cast("array<int>"))
+    rest = _without(gone)
     text = F.when(F.size(gone) > 0, rest).otherwise(F.col("text"))
     n_lines = F.size(F.filter(_lines(), lambda line: F.trim(line, F.lit(WHITE)) != ""))
     result = joined.withColumns(

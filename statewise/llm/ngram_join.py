@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statewise.llm.common import as_bytes, ascii_words, map_batches, mix, rolling
+from statewise.llm.common import as_bytes, ascii_words, map_batches, mix, rolling, unlike
 from statewise.llm.components import components
 from statewise.workspace import settle, settle_result
 
@@ -406,7 +406,8 @@ def keep_one_of_each(docs: DataFrame, words: int = WORDS, runs: int = RUNS) -> D
     chosen = (
         rows.where(F.col("node").isNotNull()).groupBy("least_node").agg(first).select("first.key")
     ).unionByName(rows.where(F.col("node").isNull()).select("key"))
-    kept = docs.withColumn("_row_key", _row_key()).join(
-        chosen.distinct().withColumnRenamed("key", "_chosen"), F.col("_row_key") == F.col("_chosen")
+    key, wanted = unlike(docs.columns, "_row_key", "_chosen")
+    kept = docs.withColumn(key, _row_key()).join(
+        chosen.distinct().withColumnRenamed("key", wanted), F.col(key) == F.col(wanted)
     )
-    return kept.dropDuplicates(["_row_key"]).select(*docs.columns)
+    return kept.dropDuplicates([key]).select(*docs.columns)
