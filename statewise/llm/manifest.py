@@ -4,13 +4,15 @@ Rows are leaves. The leaves of a group (a source, say) are put in order and
 hashed in runs of ``FAN_OUT`` until one node is left, the group's subroot; the
 subroots are hashed likewise into the root. Each level is written as node rows
 which hold their children's digests and a link to their parent. ``climb`` is a
-Spark recursive query over these rows: every leaf goes from parent to parent,
-appends the siblings that it meets and folds its claimed digest with them.
+Spark recursive query over these rows: every leaf goes from parent to parent and
+folds its claimed digest with the siblings that it meets. They are appended once
+for each run of leaves, as all leaves of a run meet the same ones above it.
 
 At scale: a leaf's place is found by a range sort with one offset per sort
 partition, so a group with a third of the rows is built by all tasks; a level
-has a sixteenth of the rows of the one below. A row of the climb holds only the
-siblings of its own step, not of the whole path. The nodes that many leaves
+has a sixteenth of the rows of the one below. A leaf's row holds three digests
+at every step; its siblings are put together when the digest of the proof is
+taken and never written. The nodes that many leaves
 pass, at most ``HIGH_NODES``, are broadcast; below them a node is met by few
 leaves, so that join has no hot key.
 """
@@ -204,15 +206,16 @@ WITH RECURSIVE climb AS (
   SELECT * FROM {start}
   UNION ALL
   SELECT {hint}
-    c.row, c.step + 1 AS step,
-    CAST(NULL AS {id_type}) AS id, CAST(NULL AS STRING) AS leaf,
+    c.id, c.leaf, c.run_tree, c.run_level, c.run_pos, c.place, c.run,
     n.up_tree, n.up_level, n.up_pos, n.slot,
-    sha2(concat(lower(hex(substring(n.children, 1, {digest} * c.slot))),
-                c.folded,
-                lower(hex(substring(n.children, {digest} * (c.slot + 1) + 1)))), 256) AS folded,
-    concat(substring(n.children, 1, {digest} * c.slot),
-           substring(n.children, {digest} * (c.slot + 1) + 1)) AS siblings,
-    CASE WHEN n.tree <> '{top}' AND coalesce(n.up_tree, '{top}') = '{top}' THEN n.hash END AS subroot,
+    unhex(sha2(concat(lower(hex(substring(n.children, 1, {digest} * c.slot))),
+                      lower(hex(c.folded)),
+                      lower(hex(substring(n.children, {digest} * (c.slot + 1) + 1)))), 256)) AS folded,
+    CASE WHEN c.run IS NOT NULL THEN
+      concat(c.siblings, array(concat(substring(n.children, 1, {digest} * c.slot),
+                                      substring(n.children, {digest} * (c.slot + 1) + 1)))) END AS siblings,
+    CASE WHEN n.tree <> '{top}' AND coalesce(n.up_tree, '{top}') = '{top}'
+      THEN n.hash ELSE c.subroot END AS subroot,
     CASE WHEN n.up_tree IS NULL THEN n.hash END AS root
   FROM climb c JOIN {nodes} n
     ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos
@@ -222,58 +225,84 @@ SELECT * FROM climb LIMIT ALL
 
 
 def _ascend(start: DataFrame, nodes: DataFrame, hint: str) -> DataFrame:
-    """All steps from ``start`` up through ``nodes``, written."""
+    """All steps from ``start`` up through ``nodes``."""
     spark = start.sparkSession
     names = {"start": f"climb_start_{uuid.uuid4().hex}", "nodes": f"climb_nodes_{uuid.uuid4().hex}"}
     start.createOrReplaceTempView(names["start"])
     nodes.createOrReplaceTempView(names["nodes"])
     try:
-        text = _CLIMB.format(
-            **names, hint=hint, digest=DIGEST, top=TOP, id_type=start.schema["id"].dataType.simpleString()
-        )
-        return settle(spark.sql(text), "climb")
+        return spark.sql(_CLIMB.format(**names, hint=hint, digest=DIGEST, top=TOP))
     finally:
         for name in names.values():
             spark.catalog.dropTempView(name)
 
 
-def climb_steps(manifest: Manifest) -> DataFrame:
-    """A row for each leaf and step: ``row, step, folded, siblings, subroot, root``.
+def _climbers(manifest: Manifest) -> DataFrame:
+    """The rows that climb: every leaf, and every run of leaves.
 
-    ``folded`` is the claimed digest folded with all siblings up to this step,
-    ``siblings`` those of this step in binary, left to right. ``id`` and ``leaf``
-    stand in step 0 only, ``subroot`` and ``root`` in the step that reaches them.
+    A leaf's row folds its claim with the siblings that it meets. The siblings
+    above a run are the same for all of its leaves, so the row of the run, which
+    holds the ``run``'s digests, appends them once.
     """
-    nodes = manifest.nodes
-    start = manifest.leaves.select(
-        "row",
-        F.lit(0).alias("step"),
+    leaf = manifest.leaves.select(
         "id",
-        F.col("hash").alias("leaf"),
+        F.unhex("hash").alias("leaf"),
+        F.col("up_tree").alias("run_tree"),
+        F.col("up_level").alias("run_level"),
+        F.col("up_pos").alias("run_pos"),
+        F.col("slot").alias("place"),
+        F.lit(None).cast("binary").alias("run"),
+        "up_tree",
+        "up_level",
+        "up_pos",
+        "slot",
+        F.unhex("claim").alias("folded"),
+        F.lit(None).cast("array<binary>").alias("siblings"),
+        F.lit(None).cast("string").alias("subroot"),
+        F.lit(None).cast("string").alias("root"),
+    )
+    # Level 1 holds all runs of leaves, in the top tree those with the only leaf of a group.
+    run = manifest.nodes.where(F.col("level") == 1).select(
+        F.lit(None).cast(leaf.schema["id"].dataType).alias("id"),
+        F.lit(None).cast("binary").alias("leaf"),
+        F.col("tree").alias("run_tree"),
+        F.col("level").alias("run_level"),
+        F.col("pos").alias("run_pos"),
+        F.lit(None).cast("int").alias("place"),
+        F.col("children").alias("run"),
         "up_tree",
         "up_level",
         "up_pos",
         "slot",
-        F.col("claim").alias("folded"),
-        F.lit(b"").alias("siblings"),
-        F.when(F.coalesce("up_tree", F.lit(TOP)) == TOP, F.col("hash")).alias("subroot"),
+        F.lit(None).cast("binary").alias("folded"),
+        F.array().cast("array<binary>").alias("siblings"),
+        F.when((F.col("tree") != TOP) & (F.coalesce("up_tree", F.lit(TOP)) == TOP), F.col("hash")).alias(
+            "subroot"
+        ),
         F.when(F.col("up_tree").isNull(), F.col("hash")).alias("root"),
     )
+    return leaf.union(run)
+
+
+def _at_the_root(manifest: Manifest) -> DataFrame:
+    """The rows of ``_climbers`` when they have reached the root, written."""
+    nodes, start = manifest.nodes, _climbers(manifest)
+    arrived = F.col("up_tree").isNull()
     least = _high_from(nodes)
     is_high = F.col("leaves_below") >= least
     if least == 1:
-        return _ascend(start, nodes, "/*+ BROADCAST(n) */")
-    lower = _ascend(start, nodes.where(~is_high), "")
-    # The last row of each leaf goes on: its parent is a high node.
+        return settle(_ascend(start, nodes, "/*+ BROADCAST(n) */").where(arrived), "climbed")
+    # Only rows whose parent is a high node go on; every leaf has one, the root at last.
     high = nodes.where(is_high)
     meets = high.select(
         F.col("tree").alias("up_tree"), F.col("level").alias("up_level"), F.col("pos").alias("up_pos")
     )
+    lower = _ascend(start, nodes.where(~is_high), "")
     halt = lower.join(F.broadcast(meets), ["up_tree", "up_level", "up_pos"], "left_semi")
-    upper = _ascend(halt.select(*lower.columns), high, "/*+ BROADCAST(n) */")
-    # Rows that the second climb starts from stand in both.
-    passed = lower.join(F.broadcast(meets), ["up_tree", "up_level", "up_pos"], "left_anti")
-    return passed.select(*lower.columns).union(upper)
+    halt = settle(halt.select(*lower.columns), "halfway")
+    upper = _ascend(halt, high, "/*+ BROADCAST(n) */").where(arrived)
+    # Runs that are the root itself do not climb at all.
+    return settle(upper.union(start.where(arrived)), "climbed")
 
 
 def climb(manifest: Manifest) -> DataFrame:
@@ -283,17 +312,37 @@ def climb(manifest: Manifest) -> DataFrame:
     the root, left to right, all of a step in one string. A claim that is the
     leaf's own digest folds to the root, any other does not.
     """
-    steps = climb_steps(manifest)
-    taken = F.array_sort(F.collect_list(F.struct("step", "siblings")))
-    per_leaf = steps.groupBy("row").agg(
-        F.max("id").alias("id"),
-        F.max("leaf").alias("leaf"),
-        F.max("subroot").alias("subroot"),
-        F.max("root").alias("root"),
-        F.max_by("folded", "step").alias("folded_root"),
-        F.transform(taken, lambda step: F.lower(F.hex(step["siblings"]))).alias("proof"),
+    done = _at_the_root(manifest)
+    tails = done.where(F.col("run").isNotNull()).select(
+        F.col("run_tree").alias("tail_tree"),
+        F.col("run_level").alias("tail_level"),
+        F.col("run_pos").alias("tail_pos"),
+        F.col("run").alias("others"),
+        F.col("siblings").alias("above"),
+        F.col("subroot").alias("tail_subroot"),
+        F.col("root").alias("tail_root"),
+    )
+    leaves = done.where(F.col("leaf").isNotNull()).drop("run", "siblings", "subroot", "root")
+    same = (
+        (F.col("run_tree") == F.col("tail_tree"))
+        & (F.col("run_level") == F.col("tail_level"))
+        & (F.col("run_pos") == F.col("tail_pos"))
+    )
+    own = F.concat(
+        F.substring("others", F.lit(1), F.col("place") * DIGEST),
+        F.substring("others", (F.col("place") + 1) * DIGEST + 1, F.lit(FAN_OUT * DIGEST)),
+    )
+    leaf = F.lower(F.hex("leaf"))
+    proof = F.transform(F.concat(F.array(own), F.col("above")), lambda step: F.lower(F.hex(step)))
+    # The only leaf of a group is its subroot, the only leaf of all is the root.
+    return leaves.join(tails, same, "left").select(
+        "id",
+        leaf.alias("leaf"),
+        F.coalesce("tail_subroot", leaf).alias("subroot"),
+        F.coalesce("tail_root", leaf).alias("root"),
+        F.lower(F.hex("folded")).alias("folded_root"),
+        F.coalesce(proof, F.array().cast("array<string>")).alias("proof"),
     )
-    return per_leaf.drop("row")
 
 
 def lower_ascii(text: Column) -> Column:
