@@ -1,11 +1,12 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every source is a queue of its documents in shuffled order, served up to
-``MOST_COPIES`` times over. A document's virtual finish time is the number of
-its source's words up to and with it, divided by the source's weight; the mix
-serves documents in the order of these times. Each source is served up to its
-target, rounded down: this cut decides what the mix takes, the times only order
-it. As the targets sum to the total budget, the mix ends there.
+Every source is a queue of its documents in shuffled order, ``MOST_COPIES`` times
+over, cut into packets of at most ``PACKET`` words. The virtual finish time of a
+packet is the number of its source's words up to and with it, divided by the
+source's weight; that of a document is that of its last packet. One range sort
+brings the packets of all sources in order of these times, and the mix ends at
+the total budget. Nothing else decides what is taken: a source that has given
+all of its copies has no more packets, and so leaves its share to the others.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from statewise.operators.ordering import number_rows
 from statewise.workspace import settle
 
 MOST_COPIES = 3
+PACKET = 100  # words
 WEIGHTS = (1, 2, 3)
 SEED = "mix"
 
@@ -71,11 +73,12 @@ def mix_schedule(
 ) -> tuple[DataFrame, DataFrame]:
     """(queue, schedule). ``queue``: a row per document with ``row``, ``doc_id``,
     ``source``, ``size``, ``source_size``, ``target``. ``schedule``: a row for
-    each copy served, with ``row``, ``copy``, ``finish``, ``words`` and
-    ``mix_end``, the words of the mix up to and with it.
+    each packet served, with ``row``, ``copy``, ``begin`` (words of the document
+    before it), ``finish``, ``words`` and ``mix_end``, the words of the mix up to
+    and with it.
 
-    The mix ends while each source is serving one document; of that document it
-    holds the first ``words`` words, all others are whole.
+    A source takes its target to within a packet. Of the document that it is
+    serving when the mix ends the first words are taken, all others are whole.
     """
     key = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     queue = settle(
@@ -94,21 +97,23 @@ def mix_schedule(
     order = ["source_rank", "key", "doc_id", "size", "row"]
     waiting = running_total(waiting, order, F.col("size"), "so_far", "source_rank")
     copies = F.sequence(F.lit(0), F.lit(most_copies - 1))
-    end = F.col("copy") * F.col("source_size") + F.col("so_far")
-    left = F.floor("target") - (end - F.col("size"))
-    started = (
+    begins = F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(PACKET).cast("bigint"))
+    passed = F.col("copy") * F.col("source_size") + F.col("so_far") - F.col("size") + F.col("begin")
+    packets = (
         waiting.withColumn("copy", F.explode(copies))
-        .withColumn("words", F.least("size", left))
-        .where(F.col("words") > 0)
-        .withColumn("finish", end / F.col("weight"))
+        .withColumn("begin", F.explode(begins))
+        .withColumn("words", F.least(F.lit(PACKET), F.col("size") - F.col("begin")))
+        .withColumn("passed", passed + F.col("words"))
+        .withColumn("finish", F.col("passed") / F.col("weight"))
+        .select("row", "copy", "begin", "words", "finish", "source_rank", "passed")
     )
-    order = ["finish", "source_rank", "copy", "key", "row"]
-    started = running_total(started, order, F.col("words"), "mix_end")
+    served = running_total(packets, ["finish", "source_rank", "passed"], F.col("words"), "mix_end")
     over = F.greatest(F.col("mix_end") - F.lit(budget), F.lit(0))
     schedule = (
-        started.withColumn("words", F.col("words") - over)
+        served.withColumn("words", F.col("words") - over)
+        .withColumn("mix_end", F.col("mix_end") - over)
         .where(F.col("words") > 0)
-        .select("row", "copy", "finish", "words", "mix_end")
+        .select("row", "copy", "begin", "finish", "words", "mix_end")
     )
     return queue, schedule
 

@@ -103,11 +103,12 @@ def repetition() -> str:
 
 MIXING = r"""
 WITH queue AS (
-    SELECT doc_id, source, text, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+    SELECT row_number() OVER () AS row, doc_id, source, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
     FROM documents
 ), ranked AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           row_number() OVER (ORDER BY source NULLS LAST) AS rank,
            CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight
     FROM queue GROUP BY source
 ), filled AS (
@@ -122,22 +123,36 @@ WITH queue AS (
 ), flagged AS (
     SELECT *, 3 * source_size <= weight * level AS is_full FROM levels
 ), targets AS (
-    SELECT source, source_size,
+    SELECT source, source_size, rank, weight, budget,
            CASE WHEN is_full THEN CAST(3 * source_size AS DOUBLE)
                 ELSE weight * coalesce((SELECT level FROM flagged WHERE NOT is_full
                     ORDER BY 3.0 * source_size / weight, source NULLS LAST LIMIT 1), 0) END AS target
     FROM flagged
 ), stood AS (
-    SELECT doc_id, queue.source, size, source_size, target, key,
+    SELECT row, doc_id, size, source_size, target, rank, weight, budget,
            sum(size) OVER (PARTITION BY queue.source ORDER BY key, doc_id, size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far
     FROM queue JOIN targets ON queue.source IS NOT DISTINCT FROM targets.source
+), copies AS (
+    SELECT *, unnest(range(0, 3)) AS copy FROM stood WHERE size > 0
+), packets AS (
+    SELECT *, unnest(range(0, size, 100)) AS first_word FROM copies
+), timed AS (
+    SELECT row, rank, weight, budget, least(100, size - first_word) AS words,
+           CAST(copy * source_size + so_far - size + first_word
+                + least(100, size - first_word) AS BIGINT) AS passed
+    FROM packets
+), served AS (
+    SELECT row, words, budget,
+           sum(words) OVER (ORDER BY CAST(passed AS DOUBLE) / weight, rank, passed
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mix_end
+    FROM timed
+), taken AS (
+    SELECT row, sum(greatest(0, words - greatest(0, mix_end - budget))) AS taken FROM served GROUP BY row
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST(greatest(0, least(size, floor(target) - so_far + size))
-          + greatest(0, least(size, floor(target) - source_size - so_far + size))
-          + greatest(0, least(size, floor(target) - 2 * source_size - so_far + size)) AS BIGINT) AS taken
-FROM stood
+       CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM stood LEFT JOIN taken USING (row)
 """
 
 LINE_SPREAD = r"""
