@@ -1,8 +1,8 @@
 """Alignment of the tokens of two tokenizers over the bytes they cover.
 
 Each tokenizer cuts the same bytes. Places where a token of both ends are found
-by a galloping intersection of the two lists of ends: each end of the shorter
-list is looked for in the longer by doubling steps, then by a binary search.
+by a galloping intersection of the two lists of ends: those of the shorter list
+are looked for in the longer by doubling steps, then by binary searches.
 Common ends cut both token lists into groups; two tokens of one group are linked.
 
 At scale: a document is tokenised once and written with its linked id pairs, each
@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from pathlib import Path
@@ -37,6 +36,12 @@ PIECE_BPE = "piece_bpe_32k.model"
 FREQUENT = 500_000
 #: Links that are listed at once.
 BLOCK = 2**20
+#: Tokens whose bytes are joined at once.
+JOINED = 2**18
+#: Ends of the shorter list that are looked for at a time.
+DRIVEN = 256
+#: Of the largest token id.
+DIGITS = 7
 
 # The word pattern of the byte-level tokenizer.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -52,6 +57,25 @@ def _byte_letters() -> dict[str, int]:
     return letters | {chr(256 + place): byte for place, byte in enumerate(others)}
 
 
+class Strings:
+    """Numbered byte strings, laid end to end so that many are joined at once."""
+
+    def __init__(self, strings: Sequence[bytes]):
+        self._flat = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.sizes = np.array([len(string) for string in strings], dtype=np.int64)
+        self._starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        parts = []
+        for begin in range(0, len(numbers), JOINED):
+            taken = numbers[begin : begin + JOINED]
+            sizes = self.sizes[taken]
+            at = np.repeat(self._starts[taken] - (np.cumsum(sizes) - sizes), sizes)
+            at += np.arange(len(at))
+            parts.append(self._flat[at].tobytes())
+        return parts[0] if len(parts) == 1 else b"".join(parts)
+
+
 class ByteBpe:
     """A byte-level tokenizer from its JSON text."""
 
@@ -112,40 +136,47 @@ class PieceBpe:
 
 @lru_cache(maxsize=2)
 def _tokenizers(a: bytes, b: bytes):
-    """Both tokenizers with the byte lengths of their ids, and the decimal forms of
-    those, first before a comma, then before the end of their side of a group."""
+    """Both tokenizers with the bytes of their ids, and the decimal forms of those,
+    first before a comma, then before the end of their side of a group. The forms
+    are of one width, filled up with NUL."""
     made = []
     for tokenizer, end in ((ByteBpe(a), b"|"), (PieceBpe(b), b";")):
-        sizes = np.array([len(piece) for piece in tokenizer.pieces], dtype=np.int64)
-        names = [str(number).encode() + mark for mark in (b",", end) for number in range(len(sizes))]
-        made.append((tokenizer, sizes, np.array(names, dtype=object)))
+        numbers = range(len(tokenizer.pieces))
+        names = [str(number).encode() + mark for mark in (b",", end) for number in numbers]
+        made.append((tokenizer, Strings(tokenizer.pieces), np.array(names, dtype=f"S{DIGITS + 1}")))
     return made
 
 
 def common_ends(a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[int]]:
     """Places in ``a`` and in ``b`` (both rising) that hold the same value."""
+    in_a, in_b = _common_places(np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64))
+    return in_a.tolist(), in_b.tolist()
+
+
+def _common_places(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``common_ends`` of arrays.
+
+    The shorter list is taken ``DRIVEN`` values at a time. Doubling steps from the
+    last place found lead to one that is not before the last of them; between the
+    two each value is found by a binary search.
+    """
     if len(a) > len(b):
-        in_b, in_a = common_ends(b, a)
+        in_b, in_a = _common_places(b, a)
         return in_a, in_b
-    in_a: list[int] = []
-    in_b: list[int] = []
-    n = len(b)
-    b = [*b, float("inf")]
+    places = np.empty(len(a), dtype=np.int64)
+    if not len(a):
+        return places, places
     low = 0
-    for place, wanted in enumerate(a):
-        if b[low] < wanted:
-            step = 1
-            high = low + 1
-            while high < n and b[high] < wanted:
-                low = high
-                step *= 2
-                high += step
-            low = bisect_left(b, wanted, low + 1, min(high, n))
-        if b[low] == wanted:
-            in_a.append(place)
-            in_b.append(low)
-            low += 1
-    return in_a, in_b
+    for begin in range(0, len(a), DRIVEN):
+        wanted = a[begin : begin + DRIVEN]
+        last, high, step = wanted[-1], low, 1
+        while high < len(b) and b[high] < last:
+            high += step
+            step *= 2
+        places[begin : begin + DRIVEN] = low + np.searchsorted(b[low : high + 1], wanted)
+        low = int(places[begin + len(wanted) - 1])
+    in_a = np.flatnonzero(b[np.minimum(places, len(b) - 1)] == a)
+    return in_a, places[in_a]
 
 
 def linked_pairs(
@@ -208,16 +239,13 @@ def _aligned(text: str | None, made):
         return None
     whole = " " + text
     raw = whole.encode("utf-8")
-    (a_tokenizer, a_lengths, _), (b_tokenizer, b_lengths, _) = made
+    (a_tokenizer, a_pieces, _), (b_tokenizer, b_pieces, _) = made
     a, b = a_tokenizer.encode(whole), b_tokenizer.encode(text)
-    a_ends, b_ends = np.cumsum(a_lengths[a]), np.cumsum(b_lengths[b])
-    if not len(a) or not len(b) or a_ends[-1] != len(raw) or b_ends[-1] != len(raw):
+    if not len(a) or not len(b) or a_pieces.joined(a) != raw or b_pieces.joined(b) != raw:
         return None
-    for tokenizer, ids in ((a_tokenizer, a), (b_tokenizer, b)):
-        if b"".join(map(tokenizer.pieces.__getitem__, ids.tolist())) != raw:
-            return None
-    in_a, in_b = common_ends(a_ends.tolist(), b_ends.tolist())
-    return a, b, np.array(in_a), np.array(in_b)
+    a_ends, b_ends = np.cumsum(a_pieces.sizes[a]), np.cumsum(b_pieces.sizes[b])
+    in_a, in_b = _common_places(a_ends, b_ends)
+    return a, b, in_a, in_b
 
 
 def _groups_text(a, b, in_a, in_b, made) -> bytes:
@@ -227,15 +255,15 @@ def _groups_text(a, b, in_a, in_b, made) -> bytes:
     the other list before it: for A those up to the group before, for B those up
     to the end of the group.
     """
-    (_, a_lengths, a_names), (_, b_lengths, b_names) = made
-    names = np.empty(len(a) + len(b), dtype=object)
+    (_, a_pieces, a_names), (_, b_pieces, b_names) = made
+    names = np.empty(len(a) + len(b), dtype=a_names.dtype)
     a_sizes, b_sizes = np.diff(in_a, prepend=-1), np.diff(in_b, prepend=-1)
     a_named, b_named = a.copy(), b.copy()
-    a_named[in_a] += len(a_lengths)
-    b_named[in_b] += len(b_lengths)
+    a_named[in_a] += len(a_pieces.sizes)
+    b_named[in_b] += len(b_pieces.sizes)
     names[np.arange(len(a)) + np.repeat(in_b + 1 - b_sizes, a_sizes)] = a_names[a_named]
     names[np.arange(len(b)) + np.repeat(in_a + 1, b_sizes)] = b_names[b_named]
-    return b"".join(names.tolist())[:-1]
+    return names.tobytes().translate(None, b"\0")[:-1]
 
 
 def _contents(folder: str, a_file: str, b_file: str) -> tuple[bytes, bytes]:
@@ -277,7 +305,7 @@ def align_documents(
         groups = _groups_text(a, b, in_a, in_b, made)
         digest = hashlib.sha256(groups).hexdigest()
         counts = len(a), len(b), len(in_a), int((a_sizes * b_sizes).sum())
-        blocks = linked_pairs(a, b, a_sizes, b_sizes, len(made[1][1]))
+        blocks = linked_pairs(a, b, a_sizes, b_sizes, len(made[1][1].sizes))
         for part, (codes, times) in enumerate(blocks):
             yield part, *counts, digest, codes, times, groups.decode() if part == 0 and with_groups else ""
 
@@ -394,7 +422,7 @@ def align_and_score(
 
     def scored() -> DataFrame:
         aligned = settle(align_documents(docs, folder, a_file, b_file), "aligned")
-        n_b_ids = len(_tokenizers(*_contents(folder, a_file, b_file))[1][1])
+        n_b_ids = len(_tokenizers(*_contents(folder, a_file, b_file))[1][1].sizes)
         scores = score_links(aligned, n_b_ids)
         joined = aligned.where(F.col("part") == 0).join(scores, "row", "left")
         return joined.select(
